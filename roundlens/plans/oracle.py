@@ -223,3 +223,133 @@ STATEMENTS = {
     "map_best_operators": MAP_BEST_OPERATORS,
     "map_best_by_day": MAP_BEST_BY_DAY,
 }
+
+
+# --- codecs, store, sequence, report files ------------------------------------------------
+
+def _j(col: str) -> str:
+    return f"CAST(to_json({col}) AS VARCHAR)"
+
+
+WIRE_VALUE_SQL = (
+    "'[[' || " + " || ', ' || ".join([_j("date"), _j("match_id")]) + " || '], [' || "
+    + " || ', ' || ".join([
+        _j("game_mode"), _j("map"), "CAST(round_nb AS VARCHAR)", _j("win_role"),
+        _j("CAST(round_duration AS VARCHAR)"), _j("CAST(clearance_level AS VARCHAR)"),
+        _j("role"), "CAST(has_won AS VARCHAR)", _j("operator"), "CAST(kills AS VARCHAR)",
+        "CAST(is_dead AS VARCHAR)", _j("primary_weapon_type"), _j("platform")])
+    + " || ']]'")
+
+WIRE_ENCODE = with_fact(f"SELECT date, match_id, {WIRE_VALUE_SQL} AS value FROM pr")
+
+_LEGACY_FIELDS = ["date", "match_id", "game_mode", "map", "round_nb", "win_role",
+                  "round_duration", "clearance_level", "role", "has_won", "operator", "kills",
+                  "is_dead", "primary_weapon_type", "platform"]
+_LEGACY_INTS = {"round_nb", "round_duration", "clearance_level", "has_won", "kills", "is_dead"}
+LEGACY_TOKENS = f"""
+tok AS (
+  SELECT string_split(translate({WIRE_VALUE_SQL}, '[],''"', ''), ' ') AS t FROM pr
+)"""
+_legacy_bad_int = " OR ".join(
+    f"(t[{i + 1}] IS NOT NULL AND TRY_CAST(trim(t[{i + 1}]) AS INTEGER) IS NULL)"
+    for i, f in enumerate(_LEGACY_FIELDS) if f in _LEGACY_INTS)
+_legacy_cols = ", ".join(
+    (f"TRY_CAST(trim(t[{i + 1}]) AS INTEGER) AS {f}" if f in _LEGACY_INTS else f"t[{i + 1}] AS {f}")
+    for i, f in enumerate(_LEGACY_FIELDS))
+
+WIRE_DECODE_LEGACY = with_fact(
+    f"SELECT {_legacy_cols} FROM tok WHERE len(t) = 15 AND NOT ({_legacy_bad_int})", LEGACY_TOKENS)
+
+WIRE_DECODE_REJECTS = with_fact(f"""
+SELECT CASE WHEN len(t) <> 15 THEN 'arity' ELSE 'bad_int' END AS error, count(*) AS rows
+FROM tok WHERE len(t) <> 15 OR ({_legacy_bad_int}) GROUP BY 1""", LEGACY_TOKENS)
+
+SCAN_DAY = with_fact(f"SELECT {FACT_COLUMNS} FROM pr WHERE date = '19980301'")
+
+MATCH_SEQUENCE = with_fact("""
+SELECT date, match_id, seq, match_in_day, CASE WHEN match_in_day > 1 THEN 1 ELSE 0 END AS pause_before
+FROM (
+  SELECT date, match_id,
+         row_number() OVER (ORDER BY date, match_id) AS seq,
+         row_number() OVER (PARTITION BY date ORDER BY match_id) AS match_in_day
+  FROM (SELECT DISTINCT date, match_id FROM pr))""")
+
+_DIV_LINE = ("'Divisione: ' || division || ',  Punti: ' || CAST(points AS VARCHAR) || "
+             "',  Livello medio giocatori: ' || CAST(avg_level AS VARCHAR) || "
+             "',  Tempo totale giocato: ' || time_hms")
+_OP_LINE = ("'Operatore: ' || operator || ',  Ruolo: ' || role || ',  killRatio: ' || "
+            "CAST(kill_ratio AS VARCHAR) || ',  roundRatio: ' || CAST(round_ratio AS VARCHAR) || "
+            "',  Round totali giocati: ' || CAST(rounds AS VARCHAR)")
+_PLAT_LINE = ("'Piattaforma: ' || platform || ',  Mappa più giocata: ' || top_map || "
+              "',  Totale round giocati: ' || CAST(rounds AS VARCHAR) || "
+              "',  Tempo di gioco totale: ' || time_hms")
+
+REPORT_CTES = (DIVISION_BOARD, OPERATOR_RATIOS, PLATFORM_MAP, f"""
+div AS (
+  SELECT * FROM (
+    SELECT date, division, points, avg_level, {hms('total_time')} AS time_hms,
+           CAST(row_number() OVER (PARTITION BY date ORDER BY points DESC, division) AS INTEGER) AS rank
+    FROM board) WHERE rank <= 5
+),
+opk AS (
+  SELECT * FROM (
+    SELECT *, CAST(row_number() OVER (PARTITION BY date
+             ORDER BY kill_ratio / 3 + round_ratio DESC, operator) AS INTEGER) AS rank
+    FROM op_ratios) WHERE rank <= 3
+),
+plat AS (
+  SELECT date, platform, top_map, rounds, {hms('total_time')} AS time_hms,
+         CAST(row_number() OVER (PARTITION BY date ORDER BY total_time DESC, platform) AS INTEGER) AS rank
+  FROM (SELECT date, platform, CAST(sum(rounds) AS BIGINT) AS rounds,
+               CAST(sum(total_time) AS BIGINT) AS total_time,
+               arg_min(map, (-total_time, map)) AS top_map
+        FROM pm GROUP BY 1, 2)
+),
+days AS (SELECT DISTINCT date FROM pr),
+lines AS (
+  SELECT date, 0 AS section, 1 AS item, date AS value FROM days
+  UNION ALL SELECT date, 2, 1, '' FROM days
+  UNION ALL SELECT date, 4, 1, '' FROM days
+  UNION ALL SELECT date, 1, rank, {_DIV_LINE} FROM div
+  UNION ALL SELECT date, 3, rank, {_OP_LINE} FROM opk
+  UNION ALL SELECT date, 5, rank, {_PLAT_LINE} FROM plat
+)""")
+
+REPORT_LINES = with_fact("SELECT date, section, item, value FROM lines", *REPORT_CTES)
+
+DAILY_REPORT_ALL = with_fact(
+    "SELECT date, section, item, value FROM lines WHERE date < (SELECT max(date) FROM pr)",
+    *REPORT_CTES)
+
+LATEST_CLOSED_DATE = with_fact("SELECT max(date) AS latest_date FROM pr")
+
+LATEST_PER_KEY = MAP_BEST_BY_DAY.replace(
+    "SELECT date, map, role, operator, kill_ratio, round_ratio FROM (",
+    "SELECT date, map, role, operator, kill_ratio, round_ratio FROM (\n"
+    "SELECT *, row_number() OVER (PARTITION BY map, role ORDER BY date DESC) AS latest FROM (\n"
+    "SELECT date, map, role, operator, kill_ratio, round_ratio FROM (", 1) + ")) WHERE latest = 1"
+
+STREAM_DAY_CLOSE = """
+SELECT CAST(date_trunc('day', ts) AS DATE) AS day, event_type, count(*) AS n
+FROM events
+WHERE date_trunc('day', ts) < (SELECT max(date_trunc('day', ts)) FROM events)
+GROUP BY 1, 2"""
+
+STATEMENTS.update({
+    "wire_encode": WIRE_ENCODE,
+    "wire_decode": FACT_PLAYER_ROUNDS,
+    "wire_decode_legacy": WIRE_DECODE_LEGACY,
+    "wire_decode_rejects": WIRE_DECODE_REJECTS,
+    "csv_roundtrip": FACT_PLAYER_ROUNDS,
+    "scan_day": SCAN_DAY,
+    "match_sequence": MATCH_SEQUENCE,
+    "report_lines": REPORT_LINES,
+    "latest_closed_date": LATEST_CLOSED_DATE,
+    "latest_per_key": LATEST_PER_KEY,
+    "stream_operator_ratios": OPERATOR_NAME_RATIOS,
+    "stream_mode_role_wins": MODE_ROLE_BEST_MAP,
+    "stream_map_best": MAP_BEST_OPERATORS,
+    "stream_store_roundtrip": FACT_PLAYER_ROUNDS,
+    "stream_day_close": STREAM_DAY_CLOSE,
+    "daily_report_all": DAILY_REPORT_ALL,
+})

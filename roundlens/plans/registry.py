@@ -10,8 +10,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
 from ..operators import daily, live
-from ..sources.tables import player_rounds_from_tables
+from ..operators.ranking import latest_per_key
+from ..schema import PLAYER_ROUNDS_COLUMNS
+from ..session import scratch_path
+from ..sources import csv as csv_source
+from ..sources import replay as replay_source
+from ..sources import store as store_source
+from ..sources import wire
+from ..sources.tables import events_table, player_rounds_from_tables
+from ..streaming import live as live_stream
+from ..streaming.replay_run import replay_events_day_close, replay_fact
+from . import reports
+
+# The day used by the single-day store scan, and the number of
+# replay steps (micro-batches) the streaming queries are drained in.
+SCAN_DAY = "19980301"
+REPLAY_STEPS = 3
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -44,5 +61,111 @@ BATCH_QUERIES: dict[str, QueryFn] = {
 }
 
 
+# --- codecs, sources, store, report files ---------------------------------------------------
+
+def _wire_encode(spark, sf_dir):
+    return wire.encode_wire(player_rounds_from_tables(spark, sf_dir), keep=("date", "match_id"))
+
+
+def _wire_decode(spark, sf_dir):
+    msgs = wire.encode_wire(player_rounds_from_tables(spark, sf_dir))
+    good, _ = csv_source.split_valid(wire.decode_wire(msgs, "json"))
+    return good
+
+
+def _wire_decode_legacy(spark, sf_dir):
+    msgs = wire.encode_wire(player_rounds_from_tables(spark, sf_dir))
+    good, _ = csv_source.split_valid(wire.decode_wire(msgs, "legacy"))
+    return good
+
+
+def _wire_decode_rejects(spark, sf_dir):
+    msgs = wire.encode_wire(player_rounds_from_tables(spark, sf_dir))
+    _, bad = csv_source.split_valid(wire.decode_wire(msgs, "legacy"))
+    return bad.groupBy(F.col("_error").alias("error")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _csv_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "raw-csv")
+    csv_source.write_raw_csv(player_rounds_from_tables(spark, sf_dir), path)
+    good, _ = csv_source.split_valid(
+        csv_source.raw_to_player_rounds(csv_source.read_raw_csv(spark, path)))
+    return good
+
+
+def _scan_day(spark, sf_dir):
+    path = scratch_path(spark, "store")
+    store_source.write_store(player_rounds_from_tables(spark, sf_dir), path)
+    return store_source.scan_day(spark, path, SCAN_DAY)
+
+
+def _latest_closed_date(spark, sf_dir):
+    r = daily.daily_reports(player_rounds_from_tables(spark, sf_dir))
+    return reports.latest_closed_date(r["divisions"], r["operators"], r["platforms"])
+
+
+def _latest_per_key(spark, sf_dir):
+    log = live.map_best_by_day(player_rounds_from_tables(spark, sf_dir))
+    return latest_per_key(log, ["map", "role"], "date")
+
+
+# --- streaming (drained replays; result tables read back) -------------------------------
+
+def _stream_operator_ratios(spark, sf_dir):
+    out = replay_fact(spark, player_rounds_from_tables(spark, sf_dir), REPLAY_STEPS,
+                      [live_stream.start_operator_ratios])
+    return reports.read_result(spark, f"{out}/operator_ratios")
+
+
+def _stream_mode_role_wins(spark, sf_dir):
+    out = replay_fact(spark, player_rounds_from_tables(spark, sf_dir), REPLAY_STEPS,
+                      [live_stream.start_mode_role_wins])
+    return reports.read_result(spark, f"{out}/mode_role_wins")
+
+
+def _stream_map_best(spark, sf_dir):
+    out = replay_fact(spark, player_rounds_from_tables(spark, sf_dir), REPLAY_STEPS,
+                      [live_stream.start_map_best])
+    return reports.read_result(spark, f"{out}/map_best")
+
+
+def _stream_store_roundtrip(spark, sf_dir):
+    out = replay_fact(spark, player_rounds_from_tables(spark, sf_dir), REPLAY_STEPS,
+                      [lambda good, o, c, t: live_stream.start_store(good, f"{o}/store", c, t)])
+    return store_source.read_store(spark, f"{out}/store").select(*PLAYER_ROUNDS_COLUMNS)
+
+
+def _stream_day_close(spark, sf_dir):
+    out = replay_events_day_close(spark, events_table(spark, sf_dir), REPLAY_STEPS)
+    return spark.read.parquet(out)
+
+
+def _daily_report_all(spark, sf_dir):
+    out = replay_fact(spark, player_rounds_from_tables(spark, sf_dir), REPLAY_STEPS, [],
+                      with_closer=True)
+    return reports.read_result(spark, f"{out}/report_lines").select(
+        "date", "section", "item", "value")
+
+
+MORE_QUERIES: dict[str, QueryFn] = {
+    "wire_encode": _wire_encode,
+    "wire_decode": _wire_decode,
+    "wire_decode_legacy": _wire_decode_legacy,
+    "wire_decode_rejects": _wire_decode_rejects,
+    "csv_roundtrip": _csv_roundtrip,
+    "scan_day": _scan_day,
+    "match_sequence": _on_fact(replay_source.match_sequence),
+    "report_lines": _on_fact(reports.report_lines),
+    "latest_closed_date": _latest_closed_date,
+    "latest_per_key": _latest_per_key,
+    "stream_operator_ratios": _stream_operator_ratios,
+    "stream_mode_role_wins": _stream_mode_role_wins,
+    "stream_map_best": _stream_map_best,
+    "stream_store_roundtrip": _stream_store_roundtrip,
+    "stream_day_close": _stream_day_close,
+    "daily_report_all": _daily_report_all,
+}
+
+
 def all_queries() -> dict[str, QueryFn]:
-    return dict(BATCH_QUERIES)
+    return {**BATCH_QUERIES, **MORE_QUERIES}

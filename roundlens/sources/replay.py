@@ -3,8 +3,9 @@
 ``match_sequence`` numbers the distinct (date, match) keys in (date, match)
 order without a single-partition window: the keys are range-partitioned
 (a hot day is split across partitions), each partition numbers its rows
-locally, and a table of per-partition counts (one row per partition, a
-proven bound) gives each partition its offset.
+locally, the numbered keys are checkpointed once, and a table of
+per-partition counts (one row per partition, a proven bound) gives each
+partition its offset.
 
 ``replay_steps`` cuts the days into ``steps`` contiguous ranges (cut points
 from one ``percentile_approx`` aggregation) and writes each range as its own
@@ -19,6 +20,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 
 def sequence_numbers(keys: DataFrame, order_cols: list[str], seq_col: str = "seq",
                      partitions: int | None = None) -> DataFrame:
@@ -30,6 +33,12 @@ def sequence_numbers(keys: DataFrame, order_cols: list[str], seq_col: str = "seq
     local = (ordered.withColumn("_pid", F.spark_partition_id())
              .withColumn("_pos", F.monotonically_increasing_id()
                          - F.shiftleft(F.col("_pid").cast("long"), 33)))
+    # Range bounds come from sampling rows whose order after a shuffle is not
+    # fixed, so two evaluations could number differently.  Materialise the
+    # local numbering once (reliable checkpoint in the shared checkpoint folder,
+    # which also cuts the lineage) and derive counts and offsets from that copy.
+    ensure_checkpoint_dir(spark)
+    local = local.checkpoint(eager=True)
     counts = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
         "_pid",

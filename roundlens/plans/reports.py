@@ -77,7 +77,14 @@ def write_result(df: DataFrame, path: str, partition_by: str | None = "date") ->
 def read_result(spark: SparkSession, path: str) -> DataFrame:
     """A published report (without the micro-batch key of streamed results)."""
     df = spark.read.parquet(path)
-    return df.drop("batch_id") if "batch_id" in df.columns else df
+    if "batch_id" in df.columns:
+        df = df.drop("batch_id")
+    if "date" in df.columns and dict(df.dtypes)["date"] != "string":
+        # Partition discovery types yyyyMMdd folders as integers: restore the text.
+        df = df.withColumn("date", F.lpad(F.col("date").cast("string"), 8, "0"))
+    if "date" in df.columns:
+        df = df.select("date", *[c for c in df.columns if c != "date"])
+    return df
 
 
 def latest_closed_date(*results: DataFrame) -> DataFrame:

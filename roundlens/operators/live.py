@@ -7,7 +7,7 @@ drained from a stream equals its batch twin.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import operator_name, ratio2, score
@@ -93,8 +93,9 @@ def best_per_map(stats: DataFrame, kill_divisor: int = 2,
     best = top_k(scored, ["map", "role"], [F.col("_score").desc(), F.col("operator").asc()], 1)
     out = best.select("map", "role", "operator", "kill_ratio", "round_ratio")
     if require_both_roles:
-        roles = out.groupBy("map").agg(F.count(F.lit(1)).alias("_roles")).where("_roles = 2")
-        out = out.join(roles.select("map"), "map", "left_semi")
+        # At most one row per (map, role) here, so each window holds <= 2 rows.
+        roles = F.count(F.lit(1)).over(Window.partitionBy("map"))
+        out = out.withColumn("_roles", roles).where(F.col("_roles") == 2).drop("_roles")
     return out
 
 

@@ -100,8 +100,9 @@ def _scan_day(spark, sf_dir):
 
 
 def _latest_closed_date(spark, sf_dir):
-    r = daily.daily_reports(player_rounds_from_tables(spark, sf_dir))
-    return reports.latest_closed_date(r["divisions"], r["operators"], r["platforms"])
+    # Every published daily table carries the same days; the division table
+    # stands for all of them.
+    return reports.latest_closed_date(daily.division_topk(player_rounds_from_tables(spark, sf_dir)))
 
 
 def _latest_per_key(spark, sf_dir):

@@ -37,23 +37,25 @@ def _fill(template: str) -> F.Column:
 def report_lines(pr: DataFrame, **kw) -> DataFrame:
     """Every day's text report as rows (date, section, item, value)."""
     reports = daily.daily_reports(pr, **kw)
-    divisions = reports["divisions"].select(
-        "date", F.lit(SECTION_DIVISIONS).alias("section"), F.col("rank").alias("item"),
-        _fill(DIVISION_LINE).alias("value"))
+
+    def line(section, item, value):
+        return F.struct(F.lit(section).alias("section"), item.alias("item"), value.alias("value"))
+
+    one = F.lit(1)
+    div_line = line(SECTION_DIVISIONS, F.col("rank"), _fill(DIVISION_LINE))
+    # The day's fixed lines (date, two blank separators) ride on its rank-1
+    # division row: every day with rows has one, and no extra pass is needed.
+    divisions = reports["divisions"].select("date", F.explode(
+        F.when(F.col("rank") == 1, F.array(
+            line(SECTION_DATE, one, F.col("date")), div_line,
+            line(SECTION_GAP1, one, F.lit("")), line(SECTION_GAP2, one, F.lit(""))))
+        .otherwise(F.array(div_line))).alias("l"))
     operators = reports["operators"].select(
-        "date", F.lit(SECTION_OPERATORS).alias("section"), F.col("rank").alias("item"),
-        _fill(OPERATOR_LINE).alias("value"))
+        "date", line(SECTION_OPERATORS, F.col("rank"), _fill(OPERATOR_LINE)).alias("l"))
     platforms = reports["platforms"].select(
-        "date", F.lit(SECTION_PLATFORMS).alias("section"), F.col("rank").alias("item"),
-        _fill(PLATFORM_LINE).alias("value"))
-    days = pr.select("date").distinct()
-    fixed = days.select("date", F.explode(F.array(
-        F.struct(F.lit(SECTION_DATE).alias("section"), F.col("date").alias("value")),
-        F.struct(F.lit(SECTION_GAP1).alias("section"), F.lit("").alias("value")),
-        F.struct(F.lit(SECTION_GAP2).alias("section"), F.lit("").alias("value")))).alias("l"))
-    fixed = fixed.select("date", F.col("l.section").alias("section"), F.lit(1).alias("item"),
-                         F.col("l.value").alias("value"))
-    return fixed.unionByName(divisions).unionByName(operators).unionByName(platforms)
+        "date", line(SECTION_PLATFORMS, F.col("rank"), _fill(PLATFORM_LINE)).alias("l"))
+    return (divisions.unionByName(operators).unionByName(platforms)
+            .select("date", "l.section", "l.item", "l.value"))
 
 
 def write_report_files(lines: DataFrame, path: str) -> None:

@@ -67,7 +67,18 @@ def player_rounds_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact.select(*PLAYER_ROUNDS_COLUMNS)
 
 
+def wall_clock_instant(ntz_col, spark: SparkSession):
+    """TIMESTAMP_NTZ → the TIMESTAMP whose UTC wall clock equals it.
+
+    Watermarks need TIMESTAMP, and event-time windows are aligned on UTC; the
+    plain cast reads the wall clock in the session zone, so shift it back to
+    keep day windows on calendar days whatever the session zone is.
+    """
+    tz = spark.conf.get("spark.sql.session.timeZone")
+    return F.from_utc_timestamp(ntz_col.cast("timestamp"), tz)
+
+
 def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The driver's event stream table with ``ts`` as a session-zone TIMESTAMP
-    (watermarks need TIMESTAMP, the Parquet column is TIMESTAMP_NTZ)."""
-    return table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    """The driver's event stream table with ``ts`` as an event-time TIMESTAMP."""
+    return table(spark, sf_dir, "events").withColumn(
+        "ts", wall_clock_instant(F.col("ts"), spark))

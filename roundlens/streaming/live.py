@@ -164,7 +164,8 @@ def day_close_counts(events: DataFrame, delay: str = "0 seconds") -> DataFrame:
     return (events.withWatermark("ts", delay)
             .groupBy(F.window("ts", "1 day").alias("w"), "event_type")
             .agg(F.count(F.lit(1)).alias("n"))
-            .select(F.to_date(F.col("w.start")).alias("day"), "event_type", "n"))
+            .select(F.to_date(F.to_utc_timestamp(
+                F.col("w.start"), F.current_timezone())).alias("day"), "event_type", "n"))
 
 
 def start_day_close(events: DataFrame, out: str, checkpoint: str, delay: str = "0 seconds",

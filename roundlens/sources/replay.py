@@ -89,10 +89,11 @@ def replay_steps(df: DataFrame, order: Column, steps: int,
     for i in range(len(edges) - 1):
         lo, hi = edges[i], edges[i + 1]
         cond = F.lit(True)
+        # Ranges are (lo, hi]: a cut point closes the range it was taken from.
         if lo is not None:
-            cond = cond & (col >= F.lit(to_value(lo)))
+            cond = cond & (col > F.lit(to_value(lo)))
         if hi is not None:
-            cond = cond & (col < F.lit(to_value(hi)))
+            cond = cond & (col <= F.lit(to_value(hi)))
         write_step(df.where(cond), i)
         if after_step is not None:
             after_step(i)

@@ -26,6 +26,7 @@ from ..operators import daily, live
 from ..plans.reports import report_lines, write_result
 from ..operators.ranking import latest_per_key
 from ..schema import PLAYER_ROUNDS_COLUMNS, PLAYER_ROUNDS_SCHEMA
+from ..session import path_exists
 from ..sources.store import read_store
 from ..sources.wire import decode_wire
 
@@ -85,6 +86,8 @@ def start_quarantine(bad: DataFrame, path: str, checkpoint: str,
 def _snapshot(transform, path: str):
     """foreachBatch body: publish ``transform(batch)`` as the new snapshot."""
     def run(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():  # nothing received yet: keep the last snapshot
+            return
         write_result(transform(batch), path, partition_by=None)
     return run
 
@@ -108,6 +111,8 @@ def start_mode_role_wins(pr: DataFrame, out: str, checkpoint: str,
     def body(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
+            if batch.isEmpty():
+                return
             write_result(batch, f"{out}/mode_role_map_wins", partition_by=None)
             write_result(live.best_map(batch), f"{out}/mode_role_wins", partition_by=None)
         finally:
@@ -115,39 +120,71 @@ def start_mode_role_wins(pr: DataFrame, out: str, checkpoint: str,
     return _writer(wins, "mode_role_wins", checkpoint, trigger, "complete").foreachBatch(body).start()
 
 
+def _drop_versions_before(spark: SparkSession, table: str, keep_from: int) -> None:
+    """Delete ``batch_id=N`` folders of ``table`` with N < keep_from."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(table)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if name.startswith("batch_id=") and int(name.split("=", 1)[1]) < keep_from:
+            fs.delete(st.getPath(), True)
+
+
 def start_map_best(pr: DataFrame, out: str, checkpoint: str, trigger: dict | None = None,
-                   require_both_roles: bool = False) -> StreamingQuery:
+                   require_both_roles: bool = False, console: bool = False) -> StreamingQuery:
     """T3: running totals per (map, operator); best attacker / defender per map.
 
-    Each batch replaces the ``map_best`` snapshot and appends the winners to
-    ``map_best_log`` keyed by batch id (idempotent on replay of a batch); the
-    latest log row per (map, role) equals the snapshot.
+    Each batch replaces the ``map_best`` snapshot.  The ``map_best_log`` gets,
+    keyed by batch id, the winners of the maps whose totals changed in this
+    batch only (found by comparing with the previous batch's totals, kept as
+    the two newest ``map_operator_totals`` versions so a retried batch
+    compares against the same version).  The latest log row per (map, role)
+    equals the snapshot.  ``console`` also prints each batch's changed totals.
     """
     totals = live.map_operator_totals(pr)
+    versions = f"{out}/map_operator_totals"
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        best = live.best_per_map(live.with_ratios(batch),
-                                 require_both_roles=require_both_roles).persist()
+        spark = batch.sparkSession
+        batch = batch.persist()
         try:
+            if batch.isEmpty():
+                return
+            best = live.best_per_map(live.with_ratios(batch), require_both_roles=require_both_roles)
             write_result(best, f"{out}/map_best", partition_by=None)
-            (best.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
+            prev_path = f"{versions}/batch_id={batch_id - 1}"
+            changed = batch
+            if batch_id > 0 and path_exists(spark, prev_path):
+                changed = batch.exceptAll(spark.read.parquet(prev_path).select(*batch.columns))
+            touched = changed.select("map").distinct()
+            if console:
+                changed.show(truncate=False)
+            (best.join(touched, "map", "left_semi")
+             .withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
              .parquet(f"{out}/map_best_log"))
+            (batch.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(versions))
+            _drop_versions_before(spark, versions, batch_id - 1)
         finally:
-            best.unpersist()
+            batch.unpersist()
     return _writer(totals, "map_best", checkpoint, trigger, "complete").foreachBatch(body).start()
 
 
 def start_live(messages: DataFrame, out: str, checkpoint: str, trigger: dict | None = None,
-               decode: str = "json") -> list[StreamingQuery]:
-    """All live outputs over one message stream: store, quarantine, T1, T2, T3."""
+               decode: str = "json", console: bool = False) -> list[StreamingQuery]:
+    """All live outputs over one message stream: store, quarantine, T1, T2, T3
+    (``console`` prints T3's changed totals of each batch)."""
     good, bad = decoded(messages, decode)
     return [
         start_store(good, f"{out}/store", checkpoint, trigger),
         start_quarantine(bad, f"{out}/quarantine", checkpoint, trigger),
         start_operator_ratios(good, out, checkpoint, trigger),
         start_mode_role_wins(good, out, checkpoint, trigger),
-        start_map_best(good, out, checkpoint, trigger),
+        start_map_best(good, out, checkpoint, trigger, console=console),
     ]
 
 

@@ -53,3 +53,13 @@ def test_late_rows_are_dropped_and_counted(spark):
     got = rows(spark.read.parquet(out).select(F.col("day").cast("string"), "event_type", "n"))
     assert got == [("2024-01-01", "a", 1), ("2024-01-03", "a", 1)]
     assert dropped == 1
+
+
+def test_map_log_holds_only_touched_maps(spark, golden):
+    # Step 1 holds day 20170210 (maps BANK, CLUB, HOUSE), step 2 day 20170211 (BANK only).
+    out = replay_fact(spark, golden, 2, [live_stream.start_map_best])
+    log = spark.read.parquet(f"{out}/map_best_log")
+    per_batch = {r["batch_id"]: sorted(set(r["maps"]))
+                 for r in log.groupBy("batch_id").agg(F.collect_list("map").alias("maps")).collect()}
+    assert sorted(per_batch.values()) == [["BANK"], ["BANK", "CLUB", "HOUSE"]]
+    assert rows(live_stream.latest_map_best(spark, out)) == rows(live.map_best_operators(golden))

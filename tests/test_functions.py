@@ -47,3 +47,22 @@ def test_no_python_udfs_in_report_plans(golden):
         plan = df._jdf.queryExecution().executedPlan().toString()
         for node in ("BatchEvalPython", "ArrowEvalPython", "InPandas", "InArrow"):
             assert node not in plan
+
+
+def test_topk_is_a_window_group_limit(golden):
+    from roundlens.operators import daily
+    df = daily.division_topk(golden)
+    df.collect()
+    assert "WindowGroupLimit" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_fact_scans_read_only_used_columns(spark):
+    from conftest import SF_SMALL
+
+    from roundlens.operators import daily
+    from roundlens.sources.tables import player_rounds_from_tables
+    plan = daily.division_topk(player_rounds_from_tables(spark, SF_SMALL)) \
+        ._jdf.queryExecution().executedPlan().toString()
+    # lineitem: only the 5 columns the division report needs, not its 11.
+    assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_suppkey:bigint," \
+           "l_linenumber:int,l_quantity:double>" in plan

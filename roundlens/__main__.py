@@ -30,6 +30,7 @@ def main(argv=None) -> int:
     lv.add_argument("--out", required=True)
     lv.add_argument("--checkpoint", required=True)
     lv.add_argument("--trigger", default="1 second")
+    lv.add_argument("--state-partitions", type=int, default=None)
     r = sub.add_parser("replay")
     r.add_argument("--csv", required=True)
     r.add_argument("--messages", required=True)
@@ -38,8 +39,8 @@ def main(argv=None) -> int:
         sp.add_argument("--master", default=None)
     args = p.parse_args(argv)
 
-    spark = build_session(master=args.master or "local[*]") if args.master else \
-        build_session()
+    # Without --master the master and partition count come from spark-submit.
+    spark = build_session(master=args.master, shuffle_partitions=8 if args.master else None)
     if args.cmd == "daily":
         api.publish_daily(api.read_store(spark, args.store), args.out, args.date)
     elif args.cmd == "replay":
@@ -49,9 +50,11 @@ def main(argv=None) -> int:
         msgs = (api.kafka_messages(spark, args.kafka, args.topic) if args.kafka
                 else api.file_messages(spark, args.source))
         trigger = {"processingTime": args.trigger}
-        queries = api.start_live(msgs, args.out, args.checkpoint, trigger)
+        queries = api.start_live(msgs, args.out, args.checkpoint, trigger,
+                                 state_partitions=args.state_partitions)
         queries.append(api.start_daily_closer(spark, f"{args.out}/store", args.out,
-                                              args.checkpoint, trigger))
+                                              args.checkpoint, trigger,
+                                              state_partitions=args.state_partitions))
         spark.streams.awaitAnyTermination()
     return 0
 

@@ -29,11 +29,21 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
+def build_session(master: str | None = "local[*]", shuffle_partitions: int | None = 8,
                   app_name: str = "roundlens", extra: dict | None = None) -> SparkSession:
-    builder = (SparkSession.builder.master(master).appName(app_name)
-               .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-               .config("spark.driver.memory", os.environ.get("ROUNDLENS_DRIVER_MEMORY", "16g")))
+    """Session for tests, bench and the command line.
+
+    ``master=None`` leaves the master to ``spark-submit`` (cluster runs), and
+    ``shuffle_partitions=None`` leaves the partition count to the cluster
+    configuration.
+    """
+    builder = SparkSession.builder.appName(app_name)
+    if master:
+        builder = (builder.master(master)
+                   .config("spark.driver.memory",
+                           os.environ.get("ROUNDLENS_DRIVER_MEMORY", "16g")))
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in {**DEFAULT_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()

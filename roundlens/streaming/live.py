@@ -70,6 +70,25 @@ def _writer(df: DataFrame, name: str, checkpoint: str, trigger: dict | None, mod
             .trigger(**(trigger or DEFAULT_TRIGGER)))
 
 
+def _start(writer, spark: SparkSession, state_partitions: int | None) -> StreamingQuery:
+    """Start a stateful query, optionally with its own number of state partitions.
+
+    The count is read from ``spark.sql.shuffle.partitions`` when a query first
+    starts and is then fixed by its checkpoint.  The live reports' keys are the
+    game's vocabulary (a few thousand at most), so a handful of partitions
+    avoids a state-store commit per near-empty partition on every trigger.
+    """
+    if not state_partitions:
+        return writer.start()
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, old)
+
+
 def start_store(pr: DataFrame, store_path: str, checkpoint: str,
                 trigger: dict | None = None) -> StreamingQuery:
     """Append canonical rows to the date-partitioned history store."""
@@ -92,19 +111,19 @@ def _snapshot(transform, path: str):
     return run
 
 
-def start_operator_ratios(pr: DataFrame, out: str, checkpoint: str,
-                          trigger: dict | None = None) -> StreamingQuery:
+def start_operator_ratios(pr: DataFrame, out: str, checkpoint: str, trigger: dict | None = None,
+                          state_partitions: int | None = None) -> StreamingQuery:
     """T1: running totals per operator name; ratios published each batch."""
     totals = live.operator_name_totals(pr)
     body = _snapshot(lambda b: live.with_ratios(b).select(
         "operator_name", "kills", "deaths", "wins", "rounds", "kill_ratio", "round_ratio"),
         f"{out}/operator_ratios")
-    return _writer(totals, "operator_ratios", checkpoint, trigger, "complete") \
-        .foreachBatch(body).start()
+    return _start(_writer(totals, "operator_ratios", checkpoint, trigger, "complete")
+                  .foreachBatch(body), pr.sparkSession, state_partitions)
 
 
-def start_mode_role_wins(pr: DataFrame, out: str, checkpoint: str,
-                         trigger: dict | None = None) -> StreamingQuery:
+def start_mode_role_wins(pr: DataFrame, out: str, checkpoint: str, trigger: dict | None = None,
+                         state_partitions: int | None = None) -> StreamingQuery:
     """T2: running wins per (mode, role, map); best map per (mode, role)."""
     wins = live.mode_role_map_wins(pr)
 
@@ -117,7 +136,8 @@ def start_mode_role_wins(pr: DataFrame, out: str, checkpoint: str,
             write_result(live.best_map(batch), f"{out}/mode_role_wins", partition_by=None)
         finally:
             batch.unpersist()
-    return _writer(wins, "mode_role_wins", checkpoint, trigger, "complete").foreachBatch(body).start()
+    return _start(_writer(wins, "mode_role_wins", checkpoint, trigger, "complete")
+                  .foreachBatch(body), pr.sparkSession, state_partitions)
 
 
 def _drop_versions_before(spark: SparkSession, table: str, keep_from: int) -> None:
@@ -134,7 +154,8 @@ def _drop_versions_before(spark: SparkSession, table: str, keep_from: int) -> No
 
 
 def start_map_best(pr: DataFrame, out: str, checkpoint: str, trigger: dict | None = None,
-                   require_both_roles: bool = False, console: bool = False) -> StreamingQuery:
+                   require_both_roles: bool = False, console: bool = False,
+                   state_partitions: int | None = None) -> StreamingQuery:
     """T3: running totals per (map, operator); best attacker / defender per map.
 
     Each batch replaces the ``map_best`` snapshot.  The ``map_best_log`` gets,
@@ -171,20 +192,23 @@ def start_map_best(pr: DataFrame, out: str, checkpoint: str, trigger: dict | Non
             _drop_versions_before(spark, versions, batch_id - 1)
         finally:
             batch.unpersist()
-    return _writer(totals, "map_best", checkpoint, trigger, "complete").foreachBatch(body).start()
+    return _start(_writer(totals, "map_best", checkpoint, trigger, "complete")
+                  .foreachBatch(body), pr.sparkSession, state_partitions)
 
 
 def start_live(messages: DataFrame, out: str, checkpoint: str, trigger: dict | None = None,
-               decode: str = "json", console: bool = False) -> list[StreamingQuery]:
+               decode: str = "json", console: bool = False,
+               state_partitions: int | None = None) -> list[StreamingQuery]:
     """All live outputs over one message stream: store, quarantine, T1, T2, T3
     (``console`` prints T3's changed totals of each batch)."""
     good, bad = decoded(messages, decode)
     return [
         start_store(good, f"{out}/store", checkpoint, trigger),
         start_quarantine(bad, f"{out}/quarantine", checkpoint, trigger),
-        start_operator_ratios(good, out, checkpoint, trigger),
-        start_mode_role_wins(good, out, checkpoint, trigger),
-        start_map_best(good, out, checkpoint, trigger, console=console),
+        start_operator_ratios(good, out, checkpoint, trigger, state_partitions),
+        start_mode_role_wins(good, out, checkpoint, trigger, state_partitions),
+        start_map_best(good, out, checkpoint, trigger, console=console,
+                       state_partitions=state_partitions),
     ]
 
 
@@ -206,9 +230,11 @@ def day_close_counts(events: DataFrame, delay: str = "0 seconds") -> DataFrame:
 
 
 def start_day_close(events: DataFrame, out: str, checkpoint: str, delay: str = "0 seconds",
-                    trigger: dict | None = None) -> StreamingQuery:
-    return (_writer(day_close_counts(events, delay), "day_close", checkpoint, trigger, "append")
-            .format("parquet").option("path", out).start())
+                    trigger: dict | None = None,
+                    state_partitions: int | None = None) -> StreamingQuery:
+    return _start(_writer(day_close_counts(events, delay), "day_close", checkpoint, trigger,
+                          "append").format("parquet").option("path", out),
+                  events.sparkSession, state_partitions)
 
 
 def closed_days(pr: DataFrame, delay: str = "0 seconds") -> DataFrame:
@@ -222,7 +248,8 @@ def closed_days(pr: DataFrame, delay: str = "0 seconds") -> DataFrame:
 
 
 def start_daily_closer(spark: SparkSession, store_path: str, out: str, checkpoint: str,
-                       trigger: dict | None = None, delay: str = "0 seconds") -> StreamingQuery:
+                       trigger: dict | None = None, delay: str = "0 seconds",
+                       state_partitions: int | None = None) -> StreamingQuery:
     """Run the daily reports for each day as it closes, from the history store."""
     source = spark.readStream.schema(PLAYER_ROUNDS_SCHEMA).parquet(store_path)
 
@@ -239,5 +266,5 @@ def start_daily_closer(spark: SparkSession, store_path: str, out: str, checkpoin
         for name, df in outputs.items():
             write_result(df.withColumn("batch_id", F.lit(batch_id).cast("long")),
                          f"{out}/{name}", partition_by="batch_id")
-    return _writer(closed_days(source, delay), "daily_closer", checkpoint, trigger, "append") \
-        .foreachBatch(body).start()
+    return _start(_writer(closed_days(source, delay), "daily_closer", checkpoint, trigger,
+                          "append").foreachBatch(body), spark, state_partitions)

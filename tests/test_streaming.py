@@ -63,3 +63,21 @@ def test_map_log_holds_only_touched_maps(spark, golden):
                  for r in log.groupBy("batch_id").agg(F.collect_list("map").alias("maps")).collect()}
     assert sorted(per_batch.values()) == [["BANK"], ["BANK", "CLUB", "HOUSE"]]
     assert rows(live_stream.latest_map_best(spark, out)) == rows(live.map_best_operators(golden))
+
+
+def test_state_partitions_pinned_per_query(spark, golden):
+    from roundlens.streaming.replay_run import AVAILABLE_NOW
+    root = scratch_path(spark, "statep")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    src = f"{root}/src"
+    from roundlens.sources.wire import encode_wire
+    encode_wire(golden).write.text(src)
+    good, _ = live_stream.decoded(live_stream.file_messages(spark, src))
+    q = live_stream.start_operator_ratios(good, f"{root}/out", f"{root}/ckpt", AVAILABLE_NOW,
+                                          state_partitions=3)
+    q.awaitTermination()
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    ops = [s for p in q.recentProgress for s in p.get("stateOperators", [])]
+    assert ops and ops[-1]["numShufflePartitions"] == 3
+    assert rows(read_result(spark, f"{root}/out/operator_ratios")) == \
+        rows(live.operator_name_ratios(golden))

@@ -47,6 +47,24 @@ def write_replay(pr: DataFrame, path: str, steps: int = 8, style: str = "python"
                         filter_col=F.col("date"), to_value=lambda v: f"{int(v):08d}")
 
 
+def write_kafka(pr: DataFrame, bootstrap_servers: str, topic: str, style: str = "python") -> None:
+    """Publish rows as wire messages (null key) to a Kafka topic.
+
+    Needs the Kafka connector package on the classpath."""
+    (encode_wire(pr, style).select(F.lit(None).cast("binary").alias("key"), "value")
+     .write.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers)
+     .option("topic", topic).save())
+
+
+def start_kafka_sink(pr_stream: DataFrame, bootstrap_servers: str, topic: str, checkpoint: str,
+                     trigger: dict | None = None, style: str = "python"):
+    """Streaming variant of ``write_kafka`` (checkpointed, at-least-once)."""
+    return (encode_wire(pr_stream, style).writeStream.format("kafka")
+            .option("kafka.bootstrap.servers", bootstrap_servers).option("topic", topic)
+            .option("checkpointLocation", f"{checkpoint.rstrip('/')}/kafka_sink")
+            .trigger(**(trigger or {"processingTime": "1 second"})).start())
+
+
 def read_results(spark: SparkSession, out: str) -> dict[str, DataFrame]:
     """Every published result table under ``out``."""
     names = ["divisions", "operators", "platforms", "series", "report_lines", "operator_ratios",

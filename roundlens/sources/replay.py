@@ -55,8 +55,12 @@ def match_sequence(pr: DataFrame) -> DataFrame:
     whether the producer pauses before the match (a new match on the same day)."""
     keys = pr.select("date", "match_id").distinct()
     seq = sequence_numbers(keys, ["date", "match_id"])
+    # One row per calendar day (bounded by the calendar, not by the data), so
+    # it is broadcast: a day holding a third of all matches never meets a
+    # shuffle on ``date``.
     first = seq.groupBy("date").agg(F.min("seq").alias("_first"))
-    out = seq.join(first, "date").withColumn("match_in_day", F.col("seq") - F.col("_first") + 1)
+    out = seq.join(F.broadcast(first), "date") \
+        .withColumn("match_in_day", F.col("seq") - F.col("_first") + 1)
     return out.select(
         "date", "match_id", "seq", "match_in_day",
         F.when(F.col("match_in_day") > 1, F.lit(1)).otherwise(F.lit(0)).alias("pause_before"))

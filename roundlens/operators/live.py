@@ -32,8 +32,8 @@ def operator_name_totals(pr: DataFrame) -> DataFrame:
 
 
 def with_ratios(totals: DataFrame) -> DataFrame:
-    return totals.withColumn("kill_ratio", ratio2("kills", "deaths")) \
-                 .withColumn("round_ratio", ratio2("wins", "rounds"))
+    return totals.withColumns({"kill_ratio": ratio2("kills", "deaths"),
+                               "round_ratio": ratio2("wins", "rounds")})
 
 
 def operator_name_ratios(pr: DataFrame) -> DataFrame:

@@ -92,3 +92,15 @@ def test_sequence_numbers_across_many_partitions(spark):
     out = sequence_numbers(keys, ["k"], partitions=13)
     got = [(r["k"], r["seq"]) for r in out.collect()]
     assert sorted(got) == [(k, k + 1) for k in range(5000)]
+
+
+def test_declared_table_schemas_equal_inferred(spark):
+    from pyspark.sql.types import _parse_datatype_string
+
+    from roundlens.sources.tables import TABLE_SCHEMAS
+    for sf in ("sf0.001", "sf0.01", "sf0.1"):
+        for name, ddl in TABLE_SCHEMAS.items():
+            inferred = spark.read.parquet(f"/root/testdata/{sf}/{name}.parquet").schema
+            declared = _parse_datatype_string(ddl)
+            assert [(f.name, f.dataType) for f in inferred] == \
+                [(f.name, f.dataType) for f in declared], (sf, name)

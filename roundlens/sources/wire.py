@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schema import INT_COLUMNS, PLAYER_ROUNDS_COLUMNS, WIRE_KEY, WIRE_NUMERIC, WIRE_VALUE
+from ..schema import INT_COLUMNS, WIRE_KEY, WIRE_NUMERIC, WIRE_VALUE
 
 # Characters the legacy decoder strips before splitting on a space.
 LEGACY_STRIP = "[],'\""

@@ -22,8 +22,6 @@ from . import live
 
 AVAILABLE_NOW = {"availableNow": True}
 
-Starter = Callable[[str, str, dict], StreamingQuery]
-
 
 def _drain(queries: Sequence[StreamingQuery]) -> None:
     for q in queries:

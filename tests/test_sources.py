@@ -4,7 +4,7 @@ import json
 
 from conftest import golden_rows, rows
 
-from roundlens.schema import PLAYER_ROUNDS_COLUMNS, PLAYER_ROUNDS_SCHEMA
+from roundlens.schema import PLAYER_ROUNDS_COLUMNS, PLAYER_ROUNDS_SCHEMA, RAW_COLUMNS
 from roundlens.session import scratch_path
 from roundlens.sources import csv as csv_source
 from roundlens.sources import store, wire
@@ -57,8 +57,6 @@ def test_raw_csv_header_repeat_and_bad_int(spark, golden):
     path = scratch_path(spark, "csv-test")
     csv_source.write_raw_csv(golden, path)
     extra = scratch_path(spark, "csv-extra")
-    header = ",".join(csv_source.RAW_COLUMNS) if hasattr(csv_source, "RAW_COLUMNS") else None
-    from roundlens.schema import RAW_COLUMNS
     header = ",".join(RAW_COLUMNS)
     bad_row = ["x"] * 31
     bad_row[4] = "99"

@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 from .operators import daily, live  # noqa: F401
 from .session import path_exists
 from .operators.daily import daily_reports  # noqa: F401
-from .plans.reports import read_result, report_lines, write_report_files, write_result
+from .plans.reports import (
+    read_result, read_snapshot, report_lines, write_report_files, write_result,
+)
 from .sources.csv import raw_to_player_rounds, read_raw_csv, split_valid  # noqa: F401
 from .sources.replay import match_sequence, replay_steps  # noqa: F401
 from .sources.store import read_store, reset_store, scan_day, write_store  # noqa: F401
@@ -67,11 +69,11 @@ def start_kafka_sink(pr_stream: DataFrame, bootstrap_servers: str, topic: str, c
 
 def read_results(spark: SparkSession, out: str) -> dict[str, DataFrame]:
     """Every published result table under ``out``."""
-    names = ["divisions", "operators", "platforms", "series", "report_lines", "operator_ratios",
-             "mode_role_wins", "mode_role_map_wins", "map_best", "map_best_log"]
+    tables = ["divisions", "operators", "platforms", "series", "report_lines", "map_best_log"]
+    snapshots = ["operator_ratios", "mode_role_wins", "mode_role_map_wins", "map_best"]
     found = {}
-    for n in names:
+    for n in tables + snapshots:
         p = f"{out.rstrip('/')}/{n}"
         if path_exists(spark, p):
-            found[n] = read_result(spark, p)
+            found[n] = read_snapshot(spark, p) if n in snapshots else read_result(spark, p)
     return found

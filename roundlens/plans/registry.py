@@ -115,19 +115,19 @@ def _latest_per_key(spark, sf_dir):
 def _stream_operator_ratios(spark, sf_dir):
     out = replay_fact(spark, player_rounds_from_tables(spark, sf_dir), REPLAY_STEPS,
                       [live_stream.start_operator_ratios])
-    return reports.read_result(spark, f"{out}/operator_ratios")
+    return reports.read_snapshot(spark, f"{out}/operator_ratios")
 
 
 def _stream_mode_role_wins(spark, sf_dir):
     out = replay_fact(spark, player_rounds_from_tables(spark, sf_dir), REPLAY_STEPS,
                       [live_stream.start_mode_role_wins])
-    return reports.read_result(spark, f"{out}/mode_role_wins")
+    return reports.read_snapshot(spark, f"{out}/mode_role_wins")
 
 
 def _stream_map_best(spark, sf_dir):
     out = replay_fact(spark, player_rounds_from_tables(spark, sf_dir), REPLAY_STEPS,
                       [live_stream.start_map_best])
-    return reports.read_result(spark, f"{out}/map_best")
+    return reports.read_snapshot(spark, f"{out}/map_best")
 
 
 def _stream_store_roundtrip(spark, sf_dir):

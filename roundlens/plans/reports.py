@@ -89,6 +89,13 @@ def read_result(spark: SparkSession, path: str) -> DataFrame:
     return df
 
 
+def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    """The newest complete version of a snapshot table (``batch_id=N`` folders)."""
+    df = spark.read.parquet(path)
+    latest = df.agg(F.max("batch_id")).first()[0]
+    return df.where(F.col("batch_id") == F.lit(latest)).drop("batch_id")
+
+
 def latest_closed_date(*results: DataFrame) -> DataFrame:
     """The most recent day present in the result tables (one row)."""
     dates = None

@@ -102,12 +102,38 @@ def start_quarantine(bad: DataFrame, path: str, checkpoint: str,
             .format("parquet").option("path", path).start())
 
 
+def _drop_versions_before(spark: SparkSession, table: str, keep_from: int) -> None:
+    """Delete ``batch_id=N`` folders of ``table`` with N < keep_from."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(table)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if name.startswith("batch_id=") and int(name.split("=", 1)[1]) < keep_from:
+            fs.delete(st.getPath(), True)
+
+
+def publish_snapshot(df: DataFrame, path: str, batch_id: int) -> None:
+    """Publish a new version of a snapshot table without touching the live one.
+
+    The version is a ``batch_id=N`` folder that appears only when its write
+    commits (dynamic partition overwrite, so a retried batch rewrites just its
+    own folder); readers take the newest version (``read_snapshot``).  The
+    two newest versions are kept so a reader of the previous one is not cut off.
+    """
+    write_result(df.withColumn("batch_id", F.lit(batch_id).cast("long")), path,
+                 partition_by="batch_id")
+    _drop_versions_before(df.sparkSession, path, batch_id - 1)
+
+
 def _snapshot(transform, path: str):
     """foreachBatch body: publish ``transform(batch)`` as the new snapshot."""
     def run(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():  # nothing received yet: keep the last snapshot
             return
-        write_result(transform(batch), path, partition_by=None)
+        publish_snapshot(transform(batch), path, batch_id)
     return run
 
 
@@ -132,27 +158,14 @@ def start_mode_role_wins(pr: DataFrame, out: str, checkpoint: str, trigger: dict
         try:
             if batch.isEmpty():
                 return
-            write_result(batch, f"{out}/mode_role_map_wins", partition_by=None)
-            write_result(live.best_map(batch), f"{out}/mode_role_wins", partition_by=None)
+            publish_snapshot(batch, f"{out}/mode_role_map_wins", batch_id)
+            publish_snapshot(live.best_map(batch), f"{out}/mode_role_wins", batch_id)
         finally:
             batch.unpersist()
     return _start(_writer(wins, "mode_role_wins", checkpoint, trigger, "complete")
                   .foreachBatch(body), pr.sparkSession, state_partitions)
 
 
-def _drop_versions_before(spark: SparkSession, table: str, keep_from: int) -> None:
-    """Delete ``batch_id=N`` folders of ``table`` with N < keep_from."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(table)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return
-    for st in fs.listStatus(root):
-        name = st.getPath().getName()
-        if name.startswith("batch_id=") and int(name.split("=", 1)[1]) < keep_from:
-            fs.delete(st.getPath(), True)
-
-
 def start_map_best(pr: DataFrame, out: str, checkpoint: str, trigger: dict | None = None,
                    require_both_roles: bool = False, console: bool = False,
                    state_partitions: int | None = None) -> StreamingQuery:
@@ -175,7 +188,7 @@ def start_map_best(pr: DataFrame, out: str, checkpoint: str, trigger: dict | Non
             if batch.isEmpty():
                 return
             best = live.best_per_map(live.with_ratios(batch), require_both_roles=require_both_roles)
-            write_result(best, f"{out}/map_best", partition_by=None)
+            publish_snapshot(best, f"{out}/map_best", batch_id)
             prev_path = f"{versions}/batch_id={batch_id - 1}"
             changed = batch
             if batch_id > 0 and path_exists(spark, prev_path):

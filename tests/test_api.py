@@ -39,3 +39,14 @@ def test_cli_daily_for_one_day(spark, golden):
     assert cli(["daily", "--store", store, "--out", out, "--date", "20170211"]) == 0
     got = rows(api.read_results(spark, out)["divisions"], ["date", "division", "points"])
     assert got == [("20170211", "SAS", 40)]
+
+
+def test_cli_replay_csv_to_messages(spark, golden):
+    from roundlens.sources import csv as csv_source
+    raw = scratch_path(spark, "cli-csv")
+    msgs = scratch_path(spark, "cli-msgs")
+    csv_source.write_raw_csv(golden, raw)
+    assert cli(["replay", "--csv", raw, "--messages", msgs, "--steps", "2"]) == 0
+    back = api.from_wire(spark.read.text(msgs))
+    assert back.where("_error IS NOT NULL").count() == 0
+    assert rows(back.drop("_error")) == rows(golden)

@@ -67,9 +67,12 @@ def _int_errors(cells: list[Column]) -> Column:
 
 
 def decode_wire(msgs: DataFrame, mode: str = "json", value_col: str = "value",
-                keep: tuple = ()) -> DataFrame:
+                keep: tuple = (), strict: bool = False) -> DataFrame:
     """Message text → canonical columns + ``_error`` (NULL when the row is good),
-    after the ``keep`` columns of the input."""
+    after the ``keep`` columns of the input.
+
+    With ``strict`` a bad message fails the job instead of being flagged.
+    """
     v = F.col(value_col).cast("string")
     m = F.col("_m")
     # get() returns NULL past the end of an array, also under ANSI mode.
@@ -88,4 +91,10 @@ def decode_wire(msgs: DataFrame, mode: str = "json", value_col: str = "value",
     else:
         raise ValueError("mode must be 'json' or 'legacy'")
     err = err.when(_int_errors(cells), F.lit("bad_int")).otherwise(F.lit(None).cast("string"))
-    return parsed.select(*keep, *_typed(cells), err.alias("_error"))
+    out = parsed.select(*keep, *_typed(cells), err.alias("_error"))
+    if strict:
+        # Folded into a kept column so the check cannot be pruned away.
+        fail = F.raise_error(F.concat(F.lit("undecodable message: "), F.col("_error")))
+        out = out.withColumn("date", F.when(F.col("_error").isNotNull(), fail.cast("string"))
+                             .otherwise(F.col("date")))
+    return out

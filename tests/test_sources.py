@@ -102,3 +102,14 @@ def test_declared_table_schemas_equal_inferred(spark):
             declared = _parse_datatype_string(ddl)
             assert [(f.name, f.dataType) for f in inferred] == \
                 [(f.name, f.dataType) for f in declared], (sf, name)
+
+
+def test_strict_decode_fails_on_bad_message(spark):
+    import pytest
+    msgs = spark.createDataFrame([("not json",)], "value string")
+    with pytest.raises(Exception, match="undecodable message: not_json"):
+        wire.decode_wire(msgs, strict=True).drop("_error").collect()
+    good = wire.encode_wire(spark.createDataFrame(
+        [("20170210", "1", "B", "M", 1, "A", 5, 7, "D", 0, "A-B", 2, 1, "S", "P")],
+        PLAYER_ROUNDS_SCHEMA))
+    assert wire.decode_wire(good, strict=True).drop("_error").count() == 1

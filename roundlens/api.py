@@ -17,7 +17,8 @@ from .operators import daily, live  # noqa: F401
 from .session import path_exists
 from .operators.daily import daily_reports  # noqa: F401
 from .plans.reports import (
-    read_result, read_snapshot, report_lines, write_report_files, write_result,
+    read_result, read_snapshot, report_lines, report_lines_from, write_report_files,
+    write_result,
 )
 from .sources.csv import raw_to_player_rounds, read_raw_csv, split_valid  # noqa: F401
 from .sources.replay import match_sequence, replay_steps  # noqa: F401
@@ -36,9 +37,14 @@ def publish_daily(pr: DataFrame, out: str, date: str | None = None) -> None:
     per report with the covered days replaced, plus one text file per day."""
     if date is not None:
         pr = pr.where(F.col("date") == F.lit(date))
-    for name, df in daily_reports(pr).items():
-        write_result(df, f"{out}/{name}")
-    write_report_files(report_lines(pr), f"{out}/text")
+    reports = {name: df.persist() for name, df in daily_reports(pr).items()}
+    try:
+        for name, df in reports.items():
+            write_result(df, f"{out}/{name}")
+        write_report_files(report_lines_from(reports), f"{out}/text")
+    finally:
+        for df in reports.values():
+            df.unpersist()
 
 
 def write_replay(pr: DataFrame, path: str, steps: int = 8, style: str = "python") -> int:

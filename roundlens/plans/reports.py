@@ -36,7 +36,11 @@ def _fill(template: str) -> F.Column:
 
 def report_lines(pr: DataFrame, **kw) -> DataFrame:
     """Every day's text report as rows (date, section, item, value)."""
-    reports = daily.daily_reports(pr, **kw)
+    return report_lines_from(daily.daily_reports(pr, **kw))
+
+
+def report_lines_from(reports: dict[str, DataFrame]) -> DataFrame:
+    """Text report rows from already computed daily reports."""
 
     def line(section, item, value):
         return F.struct(F.lit(section).alias("section"), item.alias("item"), value.alias("value"))
@@ -58,6 +62,25 @@ def report_lines(pr: DataFrame, **kw) -> DataFrame:
             .select("date", "l.section", "l.item", "l.value"))
 
 
+def publish_reports(reports: dict[str, DataFrame], out: str, partition_by: str = "date",
+                    extra: dict | None = None) -> None:
+    """Write the daily reports and their text lines.
+
+    The reports are small aggregated tables; each is persisted once so the
+    text lines reuse it instead of recomputing it from the fact rows.
+    """
+    kept = {name: df.persist() for name, df in reports.items()}
+    try:
+        tables = {**kept, "report_lines": report_lines_from(kept)}
+        for name, df in tables.items():
+            for col, value in (extra or {}).items():
+                df = df.withColumn(col, value)
+            write_result(df, f"{out}/{name}", partition_by=partition_by)
+    finally:
+        for df in kept.values():
+            df.unpersist()
+
+
 def write_report_files(lines: DataFrame, path: str) -> None:
     """One text file per day folder, lines in report order.  A day has a few
     lines only, so grouping a day in one task is bounded."""

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import daily, live
-from ..plans.reports import report_lines, write_result
+from ..plans.reports import publish_reports, write_result
 from ..operators.ranking import latest_per_key
 from ..schema import PLAYER_ROUNDS_COLUMNS, PLAYER_ROUNDS_SCHEMA
 from ..session import path_exists
@@ -273,11 +273,9 @@ def start_daily_closer(spark: SparkSession, store_path: str, out: str, checkpoin
         if not days:
             return
         rows = read_store(spark, store_path).where(F.col("date").isin(days))
-        outputs = {**daily.daily_reports(rows), "report_lines": report_lines(rows)}
         # A day closes exactly once (append mode), so keying the output by the
         # micro-batch makes a re-run of this batch replace only its own folder.
-        for name, df in outputs.items():
-            write_result(df.withColumn("batch_id", F.lit(batch_id).cast("long")),
-                         f"{out}/{name}", partition_by="batch_id")
+        publish_reports(daily.daily_reports(rows), out, partition_by="batch_id",
+                        extra={"batch_id": F.lit(batch_id).cast("long")})
     return _start(_writer(closed_days(source, delay), "daily_closer", checkpoint, trigger,
                           "append").foreachBatch(body), spark, state_partitions)

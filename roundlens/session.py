@@ -13,13 +13,16 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Session settings shared by tests, bench and the CLI.  The partition count is
-# a local default; on a cluster size it to ~2-3x the executor cores or let AQE
-# coalesce from a generous starting value.
+# Session settings shared by tests, bench and the CLI.  The shuffle partition
+# count passed to build_session is a local default.  On a cluster, start from
+# about (largest shuffle bytes / 128 MB), thousands at 100 TB, and let AQE
+# coalesce small partitions and split skewed ones; the file split size
+# (spark.sql.files.maxPartitionBytes, 128 MB) keeps scan tasks memory-bounded.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",

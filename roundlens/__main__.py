@@ -26,7 +26,7 @@ def main(argv=None) -> int:
     lv = sub.add_parser("live")
     lv.add_argument("--source")
     lv.add_argument("--kafka")
-    lv.add_argument("--topic", default="numtest")
+    lv.add_argument("--topic")
     lv.add_argument("--out", required=True)
     lv.add_argument("--checkpoint", required=True)
     lv.add_argument("--trigger", default="1 second")
@@ -47,6 +47,10 @@ def main(argv=None) -> int:
         good, bad = api.split_valid(api.raw_to_player_rounds(api.read_raw_csv(spark, args.csv)))
         api.write_replay(good, args.messages, args.steps)
     else:
+        if args.kafka and not args.topic:
+            p.error("--kafka needs --topic")
+        if not (args.kafka or args.source):
+            p.error("live needs --source or --kafka")
         msgs = (api.kafka_messages(spark, args.kafka, args.topic) if args.kafka
                 else api.file_messages(spark, args.source))
         trigger = {"processingTime": args.trigger}

@@ -6,6 +6,7 @@ work grows with them; the plan objects are lazy, nothing is collected here.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +21,7 @@ from ..sources import csv as csv_source
 from ..sources import replay as replay_source
 from ..sources import store as store_source
 from ..sources import wire
-from ..sources.tables import events_table, player_rounds_from_tables
+from ..sources.tables import TABLE_SCHEMAS, events_table, player_rounds_from_tables
 from ..streaming import live as live_stream
 from ..streaming.replay_run import replay_events_day_close, replay_fact
 from . import reports
@@ -33,9 +34,36 @@ REPLAY_STEPS = 3
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+_FACT_PLANS: dict = {}
+
+
+def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact DataFrame of ``sf_dir``, built once per session and table state.
+
+    Only the lazy plan is kept (no data is cached): every query still runs the
+    whole join, but skips re-reading footers and re-analysing the same plan.
+    The key includes each local table file's size and mtime, so a changed table
+    is read afresh; remote paths are not memoised.
+    """
+    stamp = []
+    for t in TABLE_SCHEMAS:
+        path = f"{sf_dir.rstrip('/')}/{t}.parquet"
+        if not os.path.exists(path):
+            return player_rounds_from_tables(spark, sf_dir)
+        st = os.stat(path)
+        stamp.append((t, st.st_size, st.st_mtime_ns))
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir, tuple(stamp))
+    df = _FACT_PLANS.get(key)
+    if df is None:
+        if len(_FACT_PLANS) >= 4:
+            _FACT_PLANS.clear()
+        df = _FACT_PLANS[key] = player_rounds_from_tables(spark, sf_dir)
+    return df
+
+
 def _on_fact(transform) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return transform(player_rounds_from_tables(spark, sf_dir))
+        return transform(_fact(spark, sf_dir))
     run.__name__ = getattr(transform, "__name__", "query")
     run.__doc__ = transform.__doc__
     return run
@@ -64,30 +92,30 @@ BATCH_QUERIES: dict[str, QueryFn] = {
 # --- codecs, sources, store, report files ---------------------------------------------------
 
 def _wire_encode(spark, sf_dir):
-    return wire.encode_wire(player_rounds_from_tables(spark, sf_dir), keep=("date", "match_id"))
+    return wire.encode_wire(_fact(spark, sf_dir), keep=("date", "match_id"))
 
 
 def _wire_decode(spark, sf_dir):
-    msgs = wire.encode_wire(player_rounds_from_tables(spark, sf_dir))
+    msgs = wire.encode_wire(_fact(spark, sf_dir))
     good, _ = csv_source.split_valid(wire.decode_wire(msgs, "json"))
     return good
 
 
 def _wire_decode_legacy(spark, sf_dir):
-    msgs = wire.encode_wire(player_rounds_from_tables(spark, sf_dir))
+    msgs = wire.encode_wire(_fact(spark, sf_dir))
     good, _ = csv_source.split_valid(wire.decode_wire(msgs, "legacy"))
     return good
 
 
 def _wire_decode_rejects(spark, sf_dir):
-    msgs = wire.encode_wire(player_rounds_from_tables(spark, sf_dir))
+    msgs = wire.encode_wire(_fact(spark, sf_dir))
     _, bad = csv_source.split_valid(wire.decode_wire(msgs, "legacy"))
     return bad.groupBy(F.col("_error").alias("error")).agg(F.count(F.lit(1)).alias("rows"))
 
 
 def _csv_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "raw-csv")
-    csv_source.write_raw_csv(player_rounds_from_tables(spark, sf_dir), path)
+    csv_source.write_raw_csv(_fact(spark, sf_dir), path)
     good, _ = csv_source.split_valid(
         csv_source.raw_to_player_rounds(csv_source.read_raw_csv(spark, path)))
     return good
@@ -95,43 +123,43 @@ def _csv_roundtrip(spark, sf_dir):
 
 def _scan_day(spark, sf_dir):
     path = scratch_path(spark, "store")
-    store_source.write_store(player_rounds_from_tables(spark, sf_dir), path)
+    store_source.write_store(_fact(spark, sf_dir), path)
     return store_source.scan_day(spark, path, SCAN_DAY)
 
 
 def _latest_closed_date(spark, sf_dir):
     # Every published daily table carries the same days; the division table
     # stands for all of them.
-    return reports.latest_closed_date(daily.division_topk(player_rounds_from_tables(spark, sf_dir)))
+    return reports.latest_closed_date(daily.division_topk(_fact(spark, sf_dir)))
 
 
 def _latest_per_key(spark, sf_dir):
-    log = live.map_best_by_day(player_rounds_from_tables(spark, sf_dir))
+    log = live.map_best_by_day(_fact(spark, sf_dir))
     return latest_per_key(log, ["map", "role"], "date")
 
 
 # --- streaming (drained replays; result tables read back) -------------------------------
 
 def _stream_operator_ratios(spark, sf_dir):
-    out = replay_fact(spark, player_rounds_from_tables(spark, sf_dir), REPLAY_STEPS,
+    out = replay_fact(spark, _fact(spark, sf_dir), REPLAY_STEPS,
                       [live_stream.start_operator_ratios])
     return reports.read_snapshot(spark, f"{out}/operator_ratios")
 
 
 def _stream_mode_role_wins(spark, sf_dir):
-    out = replay_fact(spark, player_rounds_from_tables(spark, sf_dir), REPLAY_STEPS,
+    out = replay_fact(spark, _fact(spark, sf_dir), REPLAY_STEPS,
                       [live_stream.start_mode_role_wins])
     return reports.read_snapshot(spark, f"{out}/mode_role_wins")
 
 
 def _stream_map_best(spark, sf_dir):
-    out = replay_fact(spark, player_rounds_from_tables(spark, sf_dir), REPLAY_STEPS,
+    out = replay_fact(spark, _fact(spark, sf_dir), REPLAY_STEPS,
                       [live_stream.start_map_best])
     return reports.read_snapshot(spark, f"{out}/map_best")
 
 
 def _stream_store_roundtrip(spark, sf_dir):
-    out = replay_fact(spark, player_rounds_from_tables(spark, sf_dir), REPLAY_STEPS,
+    out = replay_fact(spark, _fact(spark, sf_dir), REPLAY_STEPS,
                       [lambda good, o, c, t: live_stream.start_store(good, f"{o}/store", c, t)])
     return store_source.read_store(spark, f"{out}/store").select(*PLAYER_ROUNDS_COLUMNS)
 
@@ -142,7 +170,7 @@ def _stream_day_close(spark, sf_dir):
 
 
 def _daily_report_all(spark, sf_dir):
-    out = replay_fact(spark, player_rounds_from_tables(spark, sf_dir), REPLAY_STEPS, [],
+    out = replay_fact(spark, _fact(spark, sf_dir), REPLAY_STEPS, [],
                       with_closer=True)
     return reports.read_result(spark, f"{out}/report_lines").select(
         "date", "section", "item", "value")

@@ -22,7 +22,9 @@ from .plans.reports import (
 )
 from .sources.csv import raw_to_player_rounds, read_raw_csv, split_valid  # noqa: F401
 from .sources.replay import match_sequence, replay_steps  # noqa: F401
-from .sources.store import read_store, reset_store, scan_day, write_store  # noqa: F401
+from .sources.store import (  # noqa: F401
+    compact_days, read_store, reset_store, scan_day, write_store,
+)
 from .sources.wire import decode_wire, encode_wire
 from .streaming.live import (  # noqa: F401
     file_messages, kafka_messages, start_daily_closer, start_day_close, start_live,

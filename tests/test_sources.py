@@ -113,3 +113,18 @@ def test_strict_decode_fails_on_bad_message(spark):
         [("20170210", "1", "B", "M", 1, "A", 5, 7, "D", 0, "A-B", 2, 1, "S", "P")],
         PLAYER_ROUNDS_SCHEMA))
     assert wire.decode_wire(good, strict=True).drop("_error").count() == 1
+
+
+def test_compact_days_keeps_rows_and_merges_files(spark, golden):
+    import os
+    path = scratch_path(spark, "compact")
+    for _ in range(3):  # three appends: several files per day
+        store.write_store(golden.repartition(3), path)
+    local = path.replace("file:", "", 1)
+
+    def files(day):
+        return [f for f in os.listdir(f"{local}/date={day}") if f.endswith(".parquet")]
+    before = len(files("20170210"))
+    store.compact_days(spark, path, ["20170210"])
+    assert len(files("20170210")) < before
+    assert rows(store.read_store(spark, path)) == sorted(rows(golden) * 3)

@@ -1,6 +1,8 @@
 """Streaming reports equal their batch twins; restart, late data, day closing."""
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -84,3 +86,18 @@ def test_state_partitions_pinned_per_query(spark, golden):
     assert ops and ops[-1]["numShufflePartitions"] == 3
     assert rows(read_snapshot(spark, f"{root}/out/operator_ratios")) == \
         rows(live.operator_name_ratios(golden))
+
+
+@settings(max_examples=3, deadline=None, derandomize=True)
+@given(steps=st.integers(min_value=1, max_value=5))
+def test_stream_equals_batch_at_any_split(spark, steps):
+    from conftest import SF_SMALL
+
+    from roundlens.sources.tables import player_rounds_from_tables
+    fact = player_rounds_from_tables(spark, SF_SMALL)
+    out = replay_fact(spark, fact, steps, [live_stream.start_operator_ratios,
+                                           live_stream.start_mode_role_wins])
+    assert rows(read_snapshot(spark, f"{out}/operator_ratios")) == \
+        rows(live.operator_name_ratios(fact))
+    assert rows(read_snapshot(spark, f"{out}/mode_role_wins")) == \
+        rows(live.mode_role_best_map(fact))

@@ -39,13 +39,16 @@ def publish_daily(pr: DataFrame, out: str, date: str | None = None) -> None:
     per report with the covered days replaced, plus one text file per day."""
     if date is not None:
         pr = pr.where(F.col("date") == F.lit(date))
-    reports = {name: df.persist() for name, df in daily_reports(pr).items()}
+    computed, shared = daily.daily_report_set(pr)
+    for df in shared:
+        df.persist()
+    reports = {name: df.persist() for name, df in computed.items()}
     try:
         for name, df in reports.items():
             write_result(df, f"{out}/{name}")
         write_report_files(report_lines_from(reports), f"{out}/text")
     finally:
-        for df in reports.values():
+        for df in [*reports.values(), *shared]:
             df.unpersist()
 
 

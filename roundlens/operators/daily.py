@@ -102,7 +102,11 @@ def platform_summary(pr: DataFrame) -> DataFrame:
     """Per (date, platform): rounds, total time, the map with the most time
     (ties: map name) and its time, ``HH:MM:SS``, and the platform's rank in
     the day by total time."""
-    per_map = platform_map_time(pr)
+    return platform_summary_of(platform_map_time(pr))
+
+
+def platform_summary_of(per_map: DataFrame) -> DataFrame:
+    """``platform_summary`` from ``platform_map_time`` rows."""
     best = arg_best(
         per_map, ["date", "platform"], [-F.col("total_time"), F.col("map")], ["map", "total_time"],
         aggs=[F.sum("rounds").cast("long").alias("_rounds"),
@@ -120,7 +124,13 @@ def daily_platform_series(pr: DataFrame, buckets=DEFAULT_PLATFORM_BUCKETS,
                           names=PLATFORM_SERIES) -> DataFrame:
     """One point per day: rounds per platform series (NULL when not played),
     labelled ``dd-MM-yyyy``.  Built on the deduplicated rounds."""
-    series = (platform_map_time(pr)
+    return platform_series_of(platform_map_time(pr), buckets, names)
+
+
+def platform_series_of(per_map: DataFrame, buckets=DEFAULT_PLATFORM_BUCKETS,
+                       names=PLATFORM_SERIES) -> DataFrame:
+    """``daily_platform_series`` from ``platform_map_time`` rows."""
+    series = (per_map
               .withColumn("_series", platform_bucket("platform", buckets, names))
               .groupBy("date").pivot("_series", list(names)).agg(F.sum("rounds").cast("long")))
     return series.select("date", day_label("date").alias("day"), *names)
@@ -128,11 +138,21 @@ def daily_platform_series(pr: DataFrame, buckets=DEFAULT_PLATFORM_BUCKETS,
 
 def daily_reports(pr: DataFrame, date: str | None = None, **kw) -> dict[str, DataFrame]:
     """The three daily reports (plus the series), for one day or for every day."""
+    return daily_report_set(pr, date, **kw)[0]
+
+
+def daily_report_set(pr: DataFrame, date: str | None = None,
+                     **kw) -> tuple[dict[str, DataFrame], list[DataFrame]]:
+    """(reports, shared inputs).  The platform summary and the series share the
+    per-(day, platform, map) table, the output of the costliest aggregation
+    (the per-round dedupe); persist the shared inputs to compute it once."""
     if date is not None:
         pr = pr.where(F.col("date") == F.lit(date))
-    return {
+    per_map = platform_map_time(pr)
+    reports = {
         "divisions": division_topk(pr),
         "operators": operator_topk(pr, single_row=kw.get("single_row", "compute")),
-        "platforms": platform_summary(pr),
-        "series": daily_platform_series(pr),
+        "platforms": platform_summary_of(per_map),
+        "series": platform_series_of(per_map),
     }
+    return reports, [per_map]

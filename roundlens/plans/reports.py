@@ -63,12 +63,15 @@ def report_lines_from(reports: dict[str, DataFrame]) -> DataFrame:
 
 
 def publish_reports(reports: dict[str, DataFrame], out: str, partition_by: str = "date",
-                    extra: dict | None = None) -> None:
+                    extra: dict | None = None, shared: list | tuple = ()) -> None:
     """Write the daily reports and their text lines.
 
-    The reports are small aggregated tables; each is persisted once so the
-    text lines reuse it instead of recomputing it from the fact rows.
+    The reports and the ``shared`` inputs of several reports are small
+    aggregated tables; each is persisted once so later outputs reuse it
+    instead of recomputing it from the fact rows.
     """
+    for df in shared:
+        df.persist()
     kept = {name: df.persist() for name, df in reports.items()}
     try:
         tables = {**kept, "report_lines": report_lines_from(kept)}
@@ -77,7 +80,7 @@ def publish_reports(reports: dict[str, DataFrame], out: str, partition_by: str =
                 df = df.withColumn(col, value)
             write_result(df, f"{out}/{name}", partition_by=partition_by)
     finally:
-        for df in kept.values():
+        for df in [*kept.values(), *shared]:
             df.unpersist()
 
 

@@ -275,7 +275,8 @@ def start_daily_closer(spark: SparkSession, store_path: str, out: str, checkpoin
         rows = read_store(spark, store_path).where(F.col("date").isin(days))
         # A day closes exactly once (append mode), so keying the output by the
         # micro-batch makes a re-run of this batch replace only its own folder.
-        publish_reports(daily.daily_reports(rows), out, partition_by="batch_id",
+        reports, shared = daily.daily_report_set(rows)
+        publish_reports(reports, out, partition_by="batch_id", shared=shared,
                         extra={"batch_id": F.lit(batch_id).cast("long")})
     return _start(_writer(closed_days(source, delay), "daily_closer", checkpoint, trigger,
                           "append").foreachBatch(body), spark, state_partitions)

@@ -52,7 +52,7 @@ def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
             return player_rounds_from_tables(spark, sf_dir)
         st = os.stat(path)
         stamp.append((t, st.st_size, st.st_mtime_ns))
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir, tuple(stamp))
+    key = (id(spark), spark.conf.get("spark.app.id", ""), sf_dir, tuple(stamp))
     df = _FACT_PLANS.get(key)
     if df is None:
         if len(_FACT_PLANS) >= 4:

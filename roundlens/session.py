@@ -50,14 +50,26 @@ def build_session(master: str | None = "local[*]", shuffle_partitions: int | Non
     for k, v in {**DEFAULT_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    if spark_context(spark) is not None:
+        spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def spark_context(spark: SparkSession):
+    """The SparkContext of a classic session, ``None`` for a Spark Connect client."""
+    try:
+        return spark.sparkContext
+    except Exception:  # Connect sessions have no local SparkContext
+        return None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one only if unset."""
-    sc = spark.sparkContext
+    sc = spark_context(spark)
+    if sc is None:  # Connect: the server's spark.checkpoint.dir applies
+        return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(
+            prefix="roundlens-ckpt-")
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -78,6 +90,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop FileSystem of the path (any scheme)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    sc = spark_context(spark)
+    if sc is None:  # Connect: probe by reading the folder's schema
+        try:
+            spark.read.parquet(path).schema
+            return True
+        except Exception:
+            return False
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(sc._jsc.hadoopConfiguration()).exists(p)

@@ -26,7 +26,7 @@ from ..operators import daily, live
 from ..plans.reports import publish_reports, write_result
 from ..operators.ranking import latest_per_key
 from ..schema import PLAYER_ROUNDS_COLUMNS, PLAYER_ROUNDS_SCHEMA
-from ..session import path_exists
+from ..session import path_exists, spark_context
 from ..sources.store import read_store
 from ..sources.wire import decode_wire
 
@@ -104,9 +104,11 @@ def start_quarantine(bad: DataFrame, path: str, checkpoint: str,
 
 def _drop_versions_before(spark: SparkSession, table: str, keep_from: int) -> None:
     """Delete ``batch_id=N`` folders of ``table`` with N < keep_from."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(table)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    sc = spark_context(spark)
+    if sc is None:  # Connect client: no filesystem access, keep all versions
+        return
+    root = sc._jvm.org.apache.hadoop.fs.Path(table)
+    fs = root.getFileSystem(sc._jsc.hadoopConfiguration())
     if not fs.exists(root):
         return
     for st in fs.listStatus(root):

@@ -1,19 +1,21 @@
 """Structured Streaming: live reports, history store sink, day closing.
 
-The message stream is decoded once (``decode_wire``); each report is its own
-streaming query with its own checkpoint:
+The message stream is decoded by ``from_json`` in each query (``decode_wire``);
+each report is its own streaming query with its own checkpoint:
 
 * store: append-only Parquet file sink partitioned by ``date`` (exactly-once
   through the sink's commit log); undecodable messages go to a quarantine sink.
 * T1 / T2 / T3: streaming ``groupBy().agg()`` whose keys are bounded by the
   game's vocabulary (operators, modes × roles × maps, maps × operators), so
-  ``complete`` output stays small; ``foreachBatch`` applies the same batch
-  transform as the daily job and replaces the published snapshot.
-* day closing: a 0-delay watermark on the day; a day is final once a later day
-  arrives (the last day stays open, as in the original).  The daily closer
-  reads the *store's* committed output as its source, so when a day closes all
-  of its rows are already in the store, then runs the daily reports for the
-  closed days only (partition-pruned) and replaces those days' results.
+  ``complete`` output stays small (``state_partitions`` sizes the state
+  store); ``foreachBatch`` applies the same batch transform as the daily job
+  and publishes it as a new committed snapshot version (``read_snapshot``).
+  T3 also appends the winners of the maps each batch touched to a log.
+* day closing: a 0-delay watermark on a one-day window; a day is final once a
+  later day arrives (the last day stays open, as in the original).  The daily
+  closer reads the *store's* committed output as its source, so when a day
+  closes all of its rows are already in the store, then runs the daily
+  reports for the closed days only (partition-pruned), keyed by batch id.
 """
 
 from __future__ import annotations

@@ -353,3 +353,28 @@ STATEMENTS.update({
     "stream_day_close": STREAM_DAY_CLOSE,
     "daily_report_all": DAILY_REPORT_ALL,
 })
+
+
+# --- as-written variants -------------------------------------------------------------------
+
+OPERATOR_TOPK_SINGLE_ROW_ZERO = with_fact(f"""
+SELECT date, operator, role, kill_ratio, round_ratio, rounds, rank FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY date
+           ORDER BY kill_ratio / 3 + round_ratio DESC, operator ASC) AS INTEGER) AS rank
+  FROM (SELECT date, operator, role, rounds,
+               CASE WHEN rounds = 1 THEN 0.0 ELSE {ratio('kills', 'deaths')} END AS kill_ratio,
+               CASE WHEN rounds = 1 THEN 0.0 ELSE {ratio('wins', 'rounds')} END AS round_ratio
+        FROM ops)) WHERE rank <= 3""", OPERATOR_RATIOS)
+
+MAP_BEST_OPERATORS_BOTH_ROLES = with_fact("""
+SELECT map, role, operator, kill_ratio, round_ratio FROM (
+  SELECT *, count(*) OVER (PARTITION BY map) AS roles FROM (
+    SELECT *, row_number() OVER (PARTITION BY map, role
+             ORDER BY kill_ratio / 2 + round_ratio DESC, operator ASC) AS rn
+    FROM mo_ratios) WHERE rn = 1)
+WHERE roles = 2""", MAP_OPERATOR)
+
+STATEMENTS.update({
+    "operator_topk_single_row_zero": OPERATOR_TOPK_SINGLE_ROW_ZERO,
+    "map_best_operators_both_roles": MAP_BEST_OPERATORS_BOTH_ROLES,
+})

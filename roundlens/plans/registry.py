@@ -86,6 +86,11 @@ BATCH_QUERIES: dict[str, QueryFn] = {
     "map_operator_stats": _on_fact(live.map_operator_stats),
     "map_best_operators": _on_fact(live.map_best_operators),
     "map_best_by_day": _on_fact(live.map_best_by_day),
+    # As-written variants, kept as options.
+    "operator_topk_single_row_zero": _on_fact(
+        lambda pr: daily.operator_topk(pr, single_row="zero")),
+    "map_best_operators_both_roles": _on_fact(
+        lambda pr: live.map_best_operators(pr, require_both_roles=True)),
 }
 
 

@@ -5,7 +5,7 @@
    first ``n - ceil(s n) + 1`` shingles of each set under any common order, so
    those *prefix* shingles are the tile keys.  Shingles that many documents
    share are ordered last and rarely become keys; the order affects speed only.
-3. Each class is first paired with the smallest class of its tiles.  Links found
+3. Each class is first paired with the leader it meets in most tiles.  Links found
    so collapse groups of copies to components; only tiles that still hold
    several components are compared in full, split by size band.
 4. A candidate pair must pass a bound from bitmap signatures (one bit per
@@ -35,6 +35,7 @@ from .text import chunks, mix, shingle_hashes
 COMMON_SHARE = 0.01     # a shingle in 1% of the documents of a chunk counts as common there
 COMMON_LIST = 100_000   # most common shingles ordered last (an order only, nothing is dropped)
 SALT_ROWS = 200_000     # a key expected in more documents than this is dealt over several buckets
+STAR_ROUNDS = 2
 TILE_ROWS = 2048        # members of one all-against-all tile
 SIG_BITS_PER_ITEM = 2
 
@@ -259,6 +260,47 @@ def _verified(pairs: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
             .filter(meets("x", "y")).select("a", "b"))
 
 
+def _banded(rows: DataFrame, pct: int) -> DataFrame:
+    """Each row in its own size band and in the next, so sets of compatible size share a band."""
+    band = F.floor(F.log("n") / F.lit(float(np.log(100.0 / pct))) + F.lit(1e-9)).cast("int")
+    return (rows.withColumn("band", F.explode(F.array(band, band + 1)))
+            .withColumn("own", F.col("band") == band))
+
+
+def _mixed(shared: DataFrame, comp: DataFrame) -> DataFrame:
+    """(key, cls, n, comp) of the tiles that hold more than one component."""
+    member = (shared.join(comp.withColumnRenamed("node", "cls"), "cls", "left")
+              .withColumn("comp", F.coalesce("comp", "cls")))
+    several = (member.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"))
+               .filter("c0 <> c1").select("key"))
+    return member.join(several, "key").select("key", "cls", "n", "comp")
+
+
+def _stars(member: DataFrame, pct: int, turn: int) -> DataFrame:
+    """One candidate pair per class: the leader of another component that it meets in most tiles.
+
+    The leader of a tile is the class with the smallest hash, another one each turn.
+    """
+    rows = _banded(member, pct)
+    lead = rows.filter("own").groupBy("key", "band").agg(
+        F.min(F.struct(F.xxhash64("cls", F.lit(turn)).alias("h"), "cls", "comp", "n")).alias("lead"))
+    met = (rows.join(lead, ["key", "band"]).filter(F.col("comp") != F.col("lead.comp"))
+           .filter(100 * F.least("n", "lead.n") >= pct * F.greatest("n", "lead.n"))
+           .groupBy("cls", F.col("lead.cls").alias("a")).agg(F.count("*").alias("m")))
+    best = met.groupBy("cls").agg(F.max_by("a", F.struct("m", "a")).alias("a"))
+    return best.select(F.least("a", "cls").alias("a"), F.greatest("a", "cls").alias("b")).distinct()
+
+
+def _check(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, pct: int,
+           bounded: bool = False) -> DataFrame:
+    """The candidate pairs that link: bitmap bound (unless already applied), then exact sets."""
+    if not bounded:
+        pairs = _pairs_within_bound(pairs, classes, pct)
+    pairs = written(pairs.select("a", "b"), "ngram-pairs")
+    names = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
+    return _verified(pairs, written(_sets(docs, classes, names, k), "ngram-sets"), pct)
+
+
 def _tiles(residual: DataFrame, sigs: DataFrame, pct: int) -> DataFrame:
     """All pairs of different components inside size-banded tiles that pass the bitmap bound.
 
@@ -266,10 +308,7 @@ def _tiles(residual: DataFrame, sigs: DataFrame, pct: int) -> DataFrame:
     and of the next one, so any two sets of compatible size meet.  A tile above
     ``TILE_ROWS`` is cut into cells of a triangular grid, which bounds a task.
     """
-    ratio = float(np.log(100.0 / pct))
-    band = F.floor(F.log("n") / F.lit(ratio) + F.lit(1e-9)).cast("int")
-    rows = (residual.withColumn("band", F.explode(F.array(band, band + 1)))
-            .withColumn("own", (F.col("band") == band)))
+    rows = _banded(residual, pct)
     size = rows.groupBy("key", "band").agg(
         F.count("*").alias("m"), F.min("comp").alias("c0"), F.max("comp").alias("c1"),
         F.bit_xor(F.xxhash64("cls")).alias("who"), F.max("own").alias("any_own")).filter("c0 <> c1 and any_own")
@@ -324,23 +363,17 @@ def jaccard_components(docs: DataFrame, k: int = 5, pct: int = 80) -> DataFrame:
         F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sig").alias("sig")), "ngram-classes")
     shared = written(_shared_keys(shaped, common), "ngram-keys")
 
-    # Round 1: each class against the smallest class of its tiles.
-    lead = shared.groupBy("key").agg(F.min("cls").alias("a"))
-    star = (shared.join(lead, "key").filter("a < cls").groupBy(F.col("cls").alias("b"))
-            .agg(F.min("a").alias("a")))
-    star = written(_pairs_within_bound(star, classes, pct), "ngram-star")
-    names = star.select(F.col("a").alias("cls")).union(star.select(F.col("b").alias("cls"))).distinct()
-    links = written(_verified(star, written(_sets(docs, classes, names, k), "ngram-sets"), pct), "ngram-links")
-    comp = components(links, "ngram-comp")
-
-    # Round 2: only tiles that still hold several components.
-    member = (shared.join(comp.withColumnRenamed("node", "cls"), "cls", "left")
-              .withColumn("comp", F.coalesce("comp", "cls")))
-    mixed = member.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 <> c1")
-    residual = written(member.join(mixed.select("key"), "key"), "ngram-residual")
-    rest = written(_tiles(residual, classes, pct), "ngram-tiles")
-    names = rest.select(F.col("a").alias("cls")).union(rest.select(F.col("b").alias("cls"))).distinct()
-    more = _verified(rest, written(_sets(docs, classes, names, k), "ngram-sets"), pct)
+    # Star rounds: each class against a leader of its tiles, links merged to components.
+    links = comp = None
+    member = shared.withColumn("comp", F.col("cls"))
+    for turn in range(STAR_ROUNDS):
+        found = _check(docs, classes, _stars(member, pct, turn), k, pct)
+        links = written(found if links is None else links.union(found), "ngram-links")
+        comp = components(links, "ngram-comp")
+        member = written(_mixed(shared, comp), "ngram-residual")
+
+    # What still lies in one tile but in several components is compared in full.
+    more = _check(docs, classes, _tiles(member, classes, pct), k, pct, bounded=True)
     comp = components(written(links.union(more), "ngram-links"), "ngram-comp")
 
     # Components take the name of their smallest document.

@@ -1,4 +1,11 @@
 """Training-data operators (documents, pages, embeddings) on Spark.
 
-Nothing else in the library imports this subpackage.
+Nothing else in the library imports this subpackage.  Its task functions travel
+to the executors by value, so a cluster needs no copy of the package there.
 """
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

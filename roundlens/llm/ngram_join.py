@@ -36,6 +36,7 @@ COMMON_SHARE = 0.01     # a shingle in 1% of the documents of a chunk counts as
 COMMON_LIST = 100_000   # most common shingles ordered last (an order only, nothing is dropped)
 SALT_ROWS = 200_000     # a key expected in more documents than this is dealt over several buckets
 STAR_ROUNDS = 2
+SMALL_TILE = 16
 TILE_ROWS = 2048        # members of one all-against-all tile
 SIG_BITS_PER_ITEM = 2
 
@@ -301,21 +302,37 @@ def _check(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, pct: i
     return _verified(pairs, written(_sets(docs, classes, names, k), "ngram-sets"), pct)
 
 
-def _tiles(residual: DataFrame, sigs: DataFrame, pct: int) -> DataFrame:
-    """All pairs of different components inside size-banded tiles that pass the bitmap bound.
-
-    ``residual`` is (key, cls, n, comp).  A class joins the tile of its own band
-    and of the next one, so any two sets of compatible size meet.  A tile above
-    ``TILE_ROWS`` is cut into cells of a triangular grid, which bounds a task.
-    """
+def _tile_rows(residual: DataFrame, pct: int, large: bool) -> DataFrame:
+    """Rows of the size-banded tiles that hold several components, with the tile size m."""
     rows = _banded(residual, pct)
     size = rows.groupBy("key", "band").agg(
         F.count("*").alias("m"), F.min("comp").alias("c0"), F.max("comp").alias("c1"),
         F.bit_xor(F.xxhash64("cls")).alias("who"), F.max("own").alias("any_own")).filter("c0 <> c1 and any_own")
     # Keys of one shared passage often hold the same classes: one such tile is enough.
-    size = size.groupBy("band", "m", "who").agg(F.min("key").alias("key"))
-    rows = (rows.join(size.select("key", "band", "m"), ["key", "band"])
-            .withColumn("grid", F.ceil(F.col("m") / TILE_ROWS).cast("int"))
+    size = (size.filter((F.col("m") > SMALL_TILE) if large else (F.col("m") <= SMALL_TILE))
+            .groupBy("band", "m", "who").agg(F.min("key").alias("key")))
+    return rows.join(size.select("key", "band", "m"), ["key", "band"])
+
+
+def _small_tiles(residual: DataFrame, pct: int) -> DataFrame:
+    """Pairs of different components inside tiles of at most ``SMALL_TILE`` classes."""
+    rows = _tile_rows(residual, pct, False).select("key", "band", "cls", "n", "comp", "own")
+    other = rows.select("key", "band", *[F.col(c).alias(f"{c}2") for c in ("cls", "n", "comp", "own")])
+    return (rows.join(other, ["key", "band"])
+            .filter("cls < cls2 and comp <> comp2 and (own or own2)")
+            .filter(100 * F.least("n", "n2") >= pct * F.greatest("n", "n2"))
+            .select(F.col("cls").alias("a"), F.col("cls2").alias("b")).distinct())
+
+
+def _large_tiles(residual: DataFrame, sigs: DataFrame, pct: int, best: bool) -> DataFrame:
+    """Pairs of different components inside larger tiles that pass the bitmap bound.
+
+    ``residual`` is (key, cls, n, comp).  With ``best`` only the partner with the
+    highest bound comes out for each class.  A tile above ``TILE_ROWS`` is cut
+    into cells of a triangular grid, which bounds a task.
+    """
+    rows = _tile_rows(residual, pct, True)
+    rows = (rows.withColumn("grid", F.ceil(F.col("m") / TILE_ROWS).cast("int"))
             .withColumn("cell", F.pmod(F.xxhash64("cls"), F.col("grid")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("grid") - 1)))
             .select("key", "band", F.least("cell", "other").alias("i"), F.greatest("cell", "other").alias("j"),
@@ -333,19 +350,26 @@ def _tiles(residual: DataFrame, sigs: DataFrame, pct: int) -> DataFrame:
             sig = sig.view(_U64)
         a, b = [], []
         for x in range(len(cls)):
-            y = (comp != comp[x]) & (cls > cls[x]) & (own | own[x])
+            y = (comp != comp[x]) & (own | own[x])
+            if not best:
+                y &= cls > cls[x]
             if i != j:
                 y &= cell != cell[x]
             y &= (100 * n >= pct * n[x]) & (100 * n[x] >= pct * n)
             y = np.flatnonzero(y)
             if len(y):
-                y = y[_linked(overlap_bound(sig[x], n[x], sig[y], n[y]), n[x], n[y], pct)]
+                bound = overlap_bound(sig[x], n[x], sig[y], n[y])
+                ok = _linked(bound, n[x], n[y], pct)
+                y, bound = y[ok], bound[ok]
+                if best and len(y):
+                    y = y[[np.argmax(bound / (n[x] + n[y] - bound))]]
                 a.append(np.full(len(y), cls[x]))
                 b.append(cls[y])
         z = np.zeros(0, np.int64)
         return pa.table({"a": np.concatenate([*a, z]), "b": np.concatenate([*b, z])})
 
-    return rows.groupBy("key", "band", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+    pairs = rows.groupBy("key", "band", "i", "j").applyInArrow(compare, "a long, b long")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, pct: int = 80) -> DataFrame:
@@ -372,9 +396,25 @@ def jaccard_components(docs: DataFrame, k: int = 5, pct: int = 80) -> DataFrame:
         comp = components(links, "ngram-comp")
         member = written(_mixed(shared, comp), "ngram-residual")
 
-    # What still lies in one tile but in several components is compared in full.
-    more = _check(docs, classes, _tiles(member, classes, pct), k, pct, bounded=True)
-    comp = components(written(links.union(more), "ngram-links"), "ngram-comp")
+    def merge(found: DataFrame) -> None:
+        nonlocal links, comp, member
+        links = written(links.union(found), "ngram-links")
+        comp = components(links, "ngram-comp")
+        member = written(_mixed(shared, comp), "ngram-residual")
+
+    # What still lies in one tile but in several components is compared in full: small
+    # tiles pair by pair; large ones first by each class's best candidate, again and
+    # again while that finds links, so that few pairs are left for the full comparison.
+    merge(_check(docs, classes, _small_tiles(member, pct), k, pct))
+    while True:
+        found = written(_check(docs, classes, _large_tiles(member, classes, pct, True), k, pct, True), "ngram-best")
+        new = found.count()
+        if new:
+            merge(found)
+        if 20 * new <= links.count():  # the full comparison below finds the rest
+            break
+    found = _check(docs, classes, _large_tiles(member, classes, pct, False), k, pct, True)
+    comp = components(written(links.union(found), "ngram-links"), "ngram-comp")
 
     # Components take the name of their smallest document.
     named = (per_doc.filter("n > 0").join(comp.withColumnRenamed("node", "cls"), "cls", "left")

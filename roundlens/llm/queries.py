@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, ngram_join
+from . import mixing, ngram_join, positional_index, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,16 +15,28 @@ def op3_ngram_jaccard_join(spark, sf_dir):
     return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def op6_benchmark_decontamination(spark, sf_dir):
+    return positional_index.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op7_exact_top_k(spark, sf_dir):
+    return topk.top_k(_table(spark, sf_dir, "embeddings"))
+
+
 def op10_mix_sources(spark, sf_dir):
     return mixing.mix_sources(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op6_benchmark_decontamination": op6_benchmark_decontamination,
+    "op7_exact_top_k": op7_exact_top_k,
     "op10_mix_sources": op10_mix_sources,
 }
 
 ORACLES = {
     "op3_ngram_jaccard_join": ngram_join.SQL,
+    "op6_benchmark_decontamination": positional_index.SQL,
+    "op7_exact_top_k": topk.SQL,
     "op10_mix_sources": mixing.SQL,
 }

@@ -29,7 +29,9 @@ from pyspark.sql import functions as F
 
 BLOCK_QUERIES = 8192     # queries sent out at a time
 ROWS = 2048              # candidate rows scored at a time
+FIRST_ROWS = 64
 QUERY_ROWS = 512
+SPARSE = 0.1             # share of pairs left at which bounds are taken pair by pair
 SURVIVORS = 1 << 18      # exact products computed at a time
 
 
@@ -112,19 +114,28 @@ def scan(best: Best, q_ids: np.ndarray, q: np.ndarray, q_stats: list[np.ndarray]
     for lo in range(0, len(q), QUERY_ROWS):
         hi = min(lo + QUERY_ROWS, len(q))
         floor = best.floor()[lo:hi]
-        bound = q_stats[0][lo:hi] @ x_stats[0].T
-        slack = 1e-9 * np.abs(bound) + 1e-6
-        a, b = np.nonzero((bound + slack >= floor[:, None]) & (q_ids[lo:hi, None] != ids))
-        for qs, xs in zip(q_stats[1:], x_stats[1:]):
+        alive = q_ids[lo:hi, None] != ids
+        a = b = None
+        for qs, xs in zip(q_stats, x_stats):
+            if a is None:  # many pairs left: all bounds of this resolution in one product
+                bound = qs[lo:hi] @ xs.T
+                alive &= bound + 1e-9 * np.abs(bound) + 1e-6 >= floor[:, None]
+                if alive.mean() < SPARSE:
+                    a, b = np.nonzero(alive)
+                continue
             keep = np.zeros(len(a), bool)
             for s in range(0, len(a), SURVIVORS):
                 u, v = a[s:s + SURVIVORS], b[s:s + SURVIVORS]
                 bound = np.einsum("ij,ij->i", qs[lo + u], xs[v])
                 keep[s:s + SURVIVORS] = bound + 1e-9 * np.abs(bound) + 1e-6 >= floor[u]
             a, b = a[keep], b[keep]
+        if a is None:
+            a, b = np.nonzero(alive)
         for s in range(0, len(a), SURVIVORS):
             u, v = a[s:s + SURVIVORS], b[s:s + SURVIVORS]
-            best.add(lo + u, np.einsum("ij,ij->i", q[lo + u], x[v]), ids[v])
+            score = np.einsum("ij,ij->i", q[lo + u], x[v])
+            good = score >= best.floor()[lo + u]
+            best.add(lo + u[good], score[good], ids[v[good]])
 
 
 def top_k(rows: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
@@ -155,8 +166,10 @@ def top_k(rows: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
                     if x.shape[1] not in state:
                         state[x.shape[1]] = (Best(len(q), k), [statistics(q, s) for s in resolutions(x.shape[1])])
                     best, q_stats = state[x.shape[1]]
-                    for lo in range(0, len(ids), ROWS):
-                        scan(best, q_ids, q, q_stats, ids[lo:lo + ROWS], x[lo:lo + ROWS])
+                    lo, step = 0, FIRST_ROWS  # small steps first, so that the k-th score soon prunes
+                    while lo < len(ids):
+                        scan(best, q_ids, q, q_stats, ids[lo:lo + step], x[lo:lo + step])
+                        lo, step = lo + step, min(2 * step, ROWS)
             for d, (best, _) in state.items():
                 n, j = np.nonzero(best.full)
                 yield pa.record_batch({"query_no": pa.array(n), "query_id": pa.array(shared.value[d][0][n]),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import lang_id, mixing, ngram_join, positional_index, topk
+from . import lang_id, mixing, ngram_join, positional_index, suffix_dedup, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +15,10 @@ def op1_language_id(spark, sf_dir):
     return lang_id.identify(_table(spark, sf_dir, "documents"))
 
 
+def op2_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op3_ngram_jaccard_join(spark, sf_dir):
     return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"))
 
@@ -33,6 +37,7 @@ def op10_mix_sources(spark, sf_dir):
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_exact_top_k": op7_exact_top_k,

@@ -96,20 +96,37 @@ def smaller_types(text: np.ndarray) -> np.ndarray:
     return (nxt < n - 1) & (text[nxt] < text[np.minimum(nxt + 1, n - 1)])
 
 
-def common_prefix(text: np.ndarray, a: np.ndarray, b: np.ndarray, depth: int) -> np.ndarray:
+def _eights(text: np.ndarray) -> np.ndarray:
+    """Row i holds the 8 characters from i on (zeros beyond the end)."""
+    padded = np.concatenate([text, np.zeros(8, text.dtype)])
+    return np.lib.stride_tricks.sliding_window_view(padded, 8)
+
+
+def common_prefix(text: np.ndarray, a: np.ndarray, b: np.ndarray, depth: int,
+                  eights: np.ndarray | None = None) -> np.ndarray:
     """Direct comparison of suffix pairs, at most ``depth`` characters."""
+    if eights is None:
+        width = depth + 8  # a few pairs: read just their stretches
+        out = [_prefix_of(text[x:x + width], text[y:y + width]) for x, y in zip(a, b)]
+        return np.minimum(np.array(out, np.int64), depth)
     n = len(text)
+    room = n - np.maximum(a, b)
     out = np.zeros(len(a), np.int64)
     live = np.arange(len(a))
     for k in range(0, depth, 8):
-        x, y = a[live, None] + np.arange(k, k + 8), b[live, None] + np.arange(k, k + 8)
-        same = (text[np.minimum(x, n - 1)] == text[np.minimum(y, n - 1)]) & (np.maximum(x, y) < n)
+        same = eights[np.minimum(a[live] + k, n)] == eights[np.minimum(b[live] + k, n)]
         run = np.where(same.all(axis=1), 8, same.argmin(axis=1))
         out[live] += run
         live = live[run == 8]
         if not len(live):
             break
-    return np.minimum(out, depth)
+    return np.minimum(np.minimum(out, room), depth)
+
+
+def _prefix_of(x: np.ndarray, y: np.ndarray) -> int:
+    m = min(len(x), len(y))
+    differs = np.flatnonzero(x[:m] != y[:m])
+    return int(differs[0]) if len(differs) else m
 
 
 class _Scan:
@@ -179,11 +196,10 @@ def _sorted_stars(text: np.ndarray, s_type: np.ndarray, sigma: int, depth: int)
     a, b = order[:-1], order[1:]
     same = length[a] == length[b]
     idx = np.flatnonzero(same)
-    k = 0
+    eights, k = _eights(text), 0
     while len(idx):  # compare 8 characters of the still equal pairs at a time
-        x, y = a[idx, None] + np.arange(k, k + 8), b[idx, None] + np.arange(k, k + 8)
         inside = np.arange(k, k + 8) < length[a[idx], None]
-        equal = (text[np.minimum(x, len(text) - 1)] == text[np.minimum(y, len(text) - 1)]) | ~inside
+        equal = (eights[np.minimum(a[idx] + k, len(text))] == eights[np.minimum(b[idx] + k, len(text))]) | ~inside
         good = equal.all(axis=1)
         same[idx[~good]] = False
         k += 8
@@ -282,9 +298,10 @@ def suffixes(text: np.ndarray, depth: int) -> Iterator[np.ndarray]:
     stars = _sorted_stars(text, s_type, sigma, depth)
     lcp = np.zeros(len(stars), np.int32)
     if len(stars) > 1:
+        eights = _eights(text)
         for lo in range(1, len(stars), BLOCK):
             hi = min(lo + BLOCK, len(stars))
-            lcp[lo:hi] = common_prefix(text, stars[lo - 1:hi - 1], stars[lo:hi], depth)
+            lcp[lo:hi] = common_prefix(text, stars[lo - 1:hi - 1], stars[lo:hi], depth, eights)
     yield from _induce(text, s_type, sigma, stars, lcp, depth)
 
 

@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +39,7 @@ from .text import Chunk, chunks, mix, prefix_hash, span_hash
 GRAM = 32
 RUN = 128                # windows of one stretch at most
 PIECE_BYTES = 4 << 20    # text bytes combined at a time
+SHARD_BYTES = 1 << 20    # stretches sorted together; one anchor's always are
 SAMPLE_SHARE = 64        # one document in so many is looked at for common anchors
 COMMON_SHARE = 0.01
 COMMON_LEAST = 50
@@ -247,21 +249,15 @@ def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 def _sorted_shards(texts: DataFrame, length: int) -> DataFrame:
     """Ranges of windows that stand earlier in another stretch of their anchor, shard by shard."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches([*batches], SHARD)
-        if not len(table):
-            return
+    def sort(table: pa.Table) -> Iterator[pa.RecordBatch]:
         doc, tag, s = (table[k].to_numpy() for k in ("doc", "tag", "s"))
         blobs = table["bytes"].combine_chunks()
-        if isinstance(blobs, pa.ChunkedArray):
-            blobs = pa.concat_arrays(blobs.chunks)
         size = np.asarray(pa.compute.binary_length(blobs), np.int64)
         begin = np.concatenate([[0], np.cumsum(size + 1)])
-        owner_text = np.zeros(begin[-1], np.uint16)  # 0 parts the stretches, bytes count from 1
-        raw = np.frombuffer(blobs.buffers()[2], np.uint8)[:size.sum()] if size.sum() else np.zeros(0, np.uint8)
-        owner_text[np.arange(len(raw)) + np.repeat(np.arange(len(size)), size)] = raw + np.uint16(1)
-        for group in _equal_windows(owner_text, begin, size, length):
-            run_id, pos = group
+        text = np.zeros(begin[-1], np.uint16)  # 0 parts the stretches, bytes count from 1
+        raw = np.frombuffer(b"".join(blobs.to_pylist()), np.uint8)
+        text[np.arange(len(raw)) + np.repeat(np.arange(len(size)), size)] = raw + np.uint16(1)
+        for run_id, pos in _equal_windows(text, begin, size, length):
             o = np.searchsorted(begin, pos, "right") - 1
             at = s[o] + pos - begin[o]
             order = np.lexsort((at, tag[o], doc[o], run_id))
@@ -271,7 +267,26 @@ def _sorted_shards(texts: DataFrame, length: int) -> DataFrame:
             e["doc"], e["tag"], e["start"], e["size"] = doc[o], tag[o], at, length
             yield pa.record_batch({k: pa.array(v) for k, v in _span_batch(e).items()})
 
-    return texts.repartition("anchor").mapInArrow(run, _SPANS)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Anchors never match each other, so a shard may end wherever the anchor changes.
+        held, size = [], 0
+        for batch in batches:
+            anchor = batch.column(0).to_numpy()
+            edge = [0, *(np.flatnonzero(anchor[1:] != anchor[:-1]) + 1).tolist(), len(anchor)]
+            sizes = np.concatenate([[0], np.cumsum(np.asarray(pa.compute.binary_length(batch.column(4)), np.int64))])
+            lo = 0
+            for x in edge[:-1]:
+                same = x == 0 and held and held[-1].column(0)[-1].as_py() == anchor[0]
+                if not same and size + sizes[x] - sizes[lo] >= SHARD_BYTES:
+                    held.append(batch.slice(lo, x - lo))
+                    yield from sort(pa.Table.from_batches(held, SHARD))
+                    held, size, lo = [], 0, x
+            held.append(batch.slice(lo))
+            size += sizes[-1] - sizes[lo]
+        if held:
+            yield from sort(pa.Table.from_batches(held, SHARD))
+
+    return texts.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, _SPANS)
 
 
 SHARD = pa.schema([("anchor", pa.int64()), ("doc", pa.int64()), ("tag", pa.int64()), ("s", pa.int64()),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import lang_id, mixing, ngram_join, positional_index, suffix_dedup, topk
+from . import lang_id, mixing, ngram_join, positional_index, suffix_dedup, topk, wrapper
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,10 @@ def op3_ngram_jaccard_join(spark, sf_dir):
     return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def op5_wrapper_text(spark, sf_dir):
+    return wrapper.extract(_table(spark, sf_dir, "pages"))
+
+
 def op6_benchmark_decontamination(spark, sf_dir):
     return positional_index.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -39,6 +43,7 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op5_wrapper_text": op5_wrapper_text,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_exact_top_k": op7_exact_top_k,
     "op10_mix_sources": op10_mix_sources,

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import lang_id, mixing, ngram_join, positional_index, suffix_dedup, topk, wrapper
+from . import (chaining, lang_id, mixing, ngram_join, positional_index, secrets, suffix_dedup, topk,
+               warc_fixity, wrapper)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +24,10 @@ def op3_ngram_jaccard_join(spark, sf_dir):
     return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def op4_warc_fixity(spark, sf_dir):
+    return warc_fixity.audit_pages(_table(spark, sf_dir, "pages"))
+
+
 def op5_wrapper_text(spark, sf_dir):
     return wrapper.extract(_table(spark, sf_dir, "pages"))
 
@@ -35,6 +40,14 @@ def op7_exact_top_k(spark, sf_dir):
     return topk.top_k(_table(spark, sf_dir, "embeddings"))
 
 
+def op8_secret_scan(spark, sf_dir):
+    return secrets.secret_report(_table(spark, sf_dir, "documents"))
+
+
+def op9_fuzzy_passages(spark, sf_dir):
+    return chaining.fuzzy_report(_table(spark, sf_dir, "documents"))
+
+
 def op10_mix_sources(spark, sf_dir):
     return mixing.mix_sources(_table(spark, sf_dir, "documents"))
 
@@ -43,14 +56,18 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op4_warc_fixity": op4_warc_fixity,
     "op5_wrapper_text": op5_wrapper_text,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_exact_top_k": op7_exact_top_k,
+    "op8_secret_scan": op8_secret_scan,
+    "op9_fuzzy_passages": op9_fuzzy_passages,
     "op10_mix_sources": op10_mix_sources,
 }
 
 ORACLES = {
     "op3_ngram_jaccard_join": ngram_join.SQL,
+    "op4_warc_fixity": warc_fixity.SQL,
     "op6_benchmark_decontamination": positional_index.SQL,
     "op7_exact_top_k": topk.SQL,
     "op10_mix_sources": mixing.SQL,

@@ -38,7 +38,7 @@ from .text import Chunk, chunks, mix, prefix_hash, span_hash
 
 GRAM = 32
 RUN = 128                # windows of one stretch at most
-PIECE_BYTES = 4 << 20    # text bytes combined at a time
+PIECE_BYTES = 1 << 20    # text bytes combined at a time
 SHARD_BYTES = 1 << 20    # stretches sorted together; one anchor's always are
 SAMPLE_SHARE = 64        # one document in so many is looked at for common anchors
 COMMON_SHARE = 0.01

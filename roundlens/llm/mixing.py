@@ -93,7 +93,8 @@ def mix_sources(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, most: fl
     bucket on the threshold (normally one document) leaves free is taken from
     that document in part, so each source meets its target to the word.
     """
-    sizes = written(docs.select("doc_id", *keep, "source", word_count(F.col("text")).alias("size"),
+    more = [c for c in keep if c not in ("doc_id", "source")]
+    sizes = written(docs.select("doc_id", *more, "source", word_count(F.col("text")).alias("size"),
                                 hash60(F.col("doc_id")).alias("h")), "mix-sizes")
     targets = written(source_targets(sizes, weights, share, most)
                       .withColumn("skey", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("")))

@@ -137,6 +137,12 @@ def _first_of_class(e: np.ndarray) -> np.ndarray:
     return np.concatenate([[True], (e["anchor"][1:] != e["anchor"][:-1]) | (e["cls"][1:] != e["cls"][:-1])])
 
 
+def _later(e: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Entries at another place than the first of their class (a repeated row is at the same place)."""
+    head = e[first][np.cumsum(first) - 1]
+    return (e["doc"] != head["doc"]) | (e["tag"] != head["tag"]) | (e["start"] != head["start"])
+
+
 def _span_batch(e: np.ndarray) -> dict:
     """Removed byte ranges of documents, touching ones joined."""
     if not len(e):
@@ -166,7 +172,7 @@ def _combined(docs: DataFrame, common: np.ndarray, length: int, buckets: int) ->
                 continue
             e = _earliest_first(e)
             first = _first_of_class(e)
-            again = _span_batch(e[~first])
+            again = _span_batch(e[_later(e, first)])
             n = len(again["doc"])
             yield pa.record_batch({
                 "bucket": pa.nulls(n, pa.int32()), "entries": pa.nulls(n, pa.binary()),
@@ -191,7 +197,7 @@ def _resolved(packed: DataFrame) -> DataFrame:
     def resolve(parts: list[bytes]) -> Iterator[pa.RecordBatch]:
         e = _earliest_first(np.frombuffer(b"".join(parts), _ENTRY))
         first = _first_of_class(e)
-        again = _span_batch(e[~first])
+        again = _span_batch(e[_later(e, first)])
         e = e[first]
         edge = np.flatnonzero(np.concatenate([[True], e["anchor"][1:] != e["anchor"][:-1], [True]]))
         several = np.repeat(np.diff(edge) > 1, np.diff(edge))
@@ -260,11 +266,10 @@ def _sorted_shards(texts: DataFrame, length: int) -> DataFrame:
         for run_id, pos in _equal_windows(text, begin, size, length):
             o = np.searchsorted(begin, pos, "right") - 1
             at = s[o] + pos - begin[o]
-            order = np.lexsort((at, tag[o], doc[o], run_id))
-            later = np.concatenate([[False], run_id[order][1:] == run_id[order][:-1]])
-            o, at = o[order][later], at[order][later]
-            e = np.empty(len(o), _ENTRY)
-            e["doc"], e["tag"], e["start"], e["size"] = doc[o], tag[o], at, length
+            e = np.zeros(len(o), _ENTRY)
+            e["cls"], e["doc"], e["tag"], e["start"], e["size"] = run_id, doc[o], tag[o], at, length
+            e = _earliest_first(e)
+            e = e[_later(e, _first_of_class(e))]
             yield pa.record_batch({k: pa.array(v) for k, v in _span_batch(e).items()})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -260,7 +260,9 @@ def test_chain_against_all_chains():
         assert (e - chaining.K, re_ - chaining.K) in ends
 
 
-def test_similarity_is_edit_distance():
+@pytest.mark.parametrize("few", [-1, 2, 20])
+def test_similarity_is_edit_distance(monkeypatch, few):
+    monkeypatch.setattr(chaining, "FEW_EDITS", few)
     rng = np.random.default_rng(4)
     for _ in range(100):
         a, b = rng.integers(0, 3, int(rng.integers(1, 12))), rng.integers(0, 3, int(rng.integers(1, 12)))

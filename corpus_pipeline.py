@@ -35,9 +35,11 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     groups = written(ngram_join.jaccard_components(docs.select("doc_id", "text")), "groups")
-    gone = groups.filter("component_id <> doc_id").select("doc_id").distinct()
+    gone = written(groups.filter("component_id <> doc_id").select("doc_id").distinct(), "gone")
     twice = written(docs.groupBy("doc_id").count().filter("count > 1").select("doc_id"), "twice")
     kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    if twice.limit(1).count() == 0:  # the usual case: no row to compare with another
+        return kept
     once = kept.join(twice, "doc_id", "left_anti").select(*docs.columns)
     again = kept.join(twice, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id", "text"])
     return once.union(again)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import scratch_path, spark_context
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -13,6 +13,9 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    sc = spark_context(spark)
+    if sc is not None:  # shuffle files of finished steps go when the driver collects its garbage
+        sc._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

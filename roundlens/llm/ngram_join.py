@@ -35,8 +35,8 @@ from .text import chunks, mix, shingle_hashes
 COMMON_SHARE = 0.01     # a shingle in 1% of the documents of a chunk counts as common there
 COMMON_LIST = 100_000   # most common shingles ordered last (an order only, nothing is dropped)
 SALT_ROWS = 200_000     # a key expected in more documents than this is dealt over several buckets
-STAR_ROUNDS = 1
-SMALL_TILE = 32
+STAR_ROUNDS = 2
+SMALL_TILE = 16
 TILE_ROWS = 2048        # members of one all-against-all tile
 SIG_BITS_PER_ITEM = 2
 

@@ -12,7 +12,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as entry  # noqa: E402
 from check_oracle import compare, duck_conn  # noqa: E402
 
-FAST = [n for n in entry.queries() if not n.startswith("stream_") and n != "daily_report_all"]
+FAST = [n for n in entry.all_queries() if not n.startswith("stream_") and n != "daily_report_all"]
 
 
 def test_entry_runs(spark):
@@ -22,7 +22,9 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    # The training-data queries are held by tests/llm; those SQL cannot express have no statement.
+    assert set(entry.all_queries()) <= set(entry.oracle_sql())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.fixture(scope="module")

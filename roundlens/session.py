@@ -32,6 +32,10 @@ DEFAULT_CONF = {
 }
 
 
+UNSET_CHECKPOINT_DIR = ("set spark.checkpoint.dir to a folder that the driver and all executors share: "
+                        "scratch tables and checkpoints are written there")
+
+
 def build_session(master: str | None = "local[*]", shuffle_partitions: int | None = 8,
                   app_name: str = "roundlens", extra: dict | None = None) -> SparkSession:
     """Session for tests, bench and the command line.
@@ -65,18 +69,26 @@ def spark_context(spark: SparkSession):
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only if unset."""
+    """Return the shared checkpoint folder.
+
+    Only a session whose master is one machine (``local[...]``, as in tests)
+    gets a folder of its own when ``spark.checkpoint.dir`` is unset; elsewhere a
+    folder of the driver's machine would be invisible to the executors.
+    """
     sc = spark_context(spark)
     if sc is None:  # Connect: the server's spark.checkpoint.dir applies
-        return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(
-            prefix="roundlens-ckpt-")
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError(UNSET_CHECKPOINT_DIR)
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
         "spark.checkpoint.dir", None)
     if not configured:
-        # Unset: a local test session.  A cluster always names a shared folder.
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError(UNSET_CHECKPOINT_DIR)
         configured = tempfile.mkdtemp(prefix="roundlens-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -99,3 +111,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
             return False
     p = sc._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(sc._jsc.hadoopConfiguration()).exists(p)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder through its Hadoop FileSystem (a Connect client leaves it)."""
+    sc = spark_context(spark)
+    if sc is None:
+        return
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)

@@ -21,6 +21,7 @@ out once per row; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from .spread import components, written
+from .spread import components, release, written
 from .text import chunks, mix, shingle_hashes
 
 COMMON_SHARE = 0.01     # a shingle in 1% of the documents of a chunk counts as common there
@@ -223,8 +224,8 @@ def _pairs_within_bound(pairs: DataFrame, sigs: DataFrame, pct: int) -> DataFram
             .filter(may_link("na", "sa", "nb", "sb")).select("a", "b", "na", "nb"))
 
 
-def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(cls, items): the sorted shingle array of each wanted class, read again from its first document."""
+def _sets(docs: DataFrame, first: DataFrame, k: int) -> DataFrame:
+    """(cls, items): the sorted shingle array of the class of each document named in ``first``, read again."""
 
     def items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for c in chunks(batches):
@@ -235,7 +236,6 @@ def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, k: int) -> Dat
                 "cls": pa.array([_set_hash(sets[i]) for i in keep], pa.uint64()).view(pa.int64()),
                 "items": pa.array([sets[i].tobytes() for i in keep], pa.binary())})
 
-    first = wanted.join(classes, "cls").select("doc_id").distinct()
     return (docs.select(F.col("doc_id").cast("long"), "text").join(first, "doc_id")
             .select("text").mapInArrow(items, "cls long, items binary")
             .groupBy("cls").agg(F.first("items").alias("items")))
@@ -268,9 +268,12 @@ def _banded(rows: DataFrame, pct: int) -> DataFrame:
             .withColumn("own", F.col("band") == band))
 
 
-def _mixed(shared: DataFrame, comp: DataFrame) -> DataFrame:
-    """(key, cls, n, comp) of the tiles that hold more than one component."""
-    member = (shared.join(comp.withColumnRenamed("node", "cls"), "cls", "left")
+def _mixed(tiles: DataFrame, comp: DataFrame) -> DataFrame:
+    """(key, cls, n, comp) of the tiles that hold more than one component.
+
+    Components only ever merge, so the tiles mixed in one turn contain those of the next.
+    """
+    member = (tiles.select("key", "cls", "n").join(comp.withColumnRenamed("node", "cls"), "cls", "left")
               .withColumn("comp", F.coalesce("comp", "cls")))
     several = (member.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"))
                .filter("c0 <> c1").select("key"))
@@ -292,14 +295,31 @@ def _stars(member: DataFrame, pct: int, turn: int) -> DataFrame:
     return best.select(F.least("a", "cls").alias("a"), F.greatest("a", "cls").alias("b")).distinct()
 
 
-def _check(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, pct: int,
+def _check(docs: DataFrame, classes: DataFrame, pairs: DataFrame, known: list[DataFrame], k: int, pct: int,
            bounded: bool = False) -> DataFrame:
-    """The candidate pairs that link: bitmap bound (unless already applied), then exact sets."""
+    """The candidate pairs that link: bitmap bound (unless already applied), then exact sets.
+
+    ``known`` holds the sets read so far; those of classes met for the first time are added to it.
+    """
     if not bounded:
         pairs = _pairs_within_bound(pairs, classes, pct)
     pairs = written(pairs.select("a", "b"), "ngram-pairs")
     names = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
-    return _verified(pairs, written(_sets(docs, classes, names, k), "ngram-sets"), pct)
+    unread = names
+    for sets in known:
+        unread = unread.join(sets.select("cls"), "cls", "left_anti")
+    first = written(unread.join(classes, "cls").select("doc_id").distinct(), "ngram-unread")
+    if not first.isEmpty():
+        known.append(written(_sets(docs, first, k), "ngram-sets"))
+    release(first)
+    if not known:  # no pair at all
+        return pairs
+    sets = reduce(DataFrame.unionAll, known)
+    if len(known) > 1:  # sets of an earlier turn that no pair names stay out of the shuffles
+        sets = sets.join(names, "cls", "left_semi")
+    found = written(_verified(pairs, sets, pct), "ngram-found")
+    release(pairs)
+    return found
 
 
 def _tile_rows(residual: DataFrame, pct: int, large: bool) -> DataFrame:
@@ -382,39 +402,42 @@ def jaccard_components(docs: DataFrame, k: int = 5, pct: int = 80) -> DataFrame:
     common = _common_shingles(docs, k)
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")) * 2, 32)
     shaped = written(_shape_docs(docs, k, pct, common, buckets), "ngram-shaped")
-    per_doc = shaped.filter("entries is null").select("doc_id", "n", "cls", "sig")
-    classes = written(per_doc.filter("n > 0").groupBy("cls").agg(
+    per_doc = written(shaped.filter("entries is null").select("doc_id", "n", "cls"), "ngram-docs")
+    classes = written(shaped.filter("n > 0").groupBy("cls").agg(
         F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sig").alias("sig")), "ngram-classes")
-    shared = written(_shared_keys(shaped, common), "ngram-keys")
+    member = written(_shared_keys(shaped, common).withColumn("comp", F.col("cls")), "ngram-keys")
+    release(shaped)
+    known: list[DataFrame] = []
+    links: list[DataFrame] = []
+    comp = None
+
+    def merge(found: DataFrame) -> None:
+        nonlocal comp, member
+        links.append(found)
+        release(comp)
+        comp = components(reduce(DataFrame.unionAll, links), "ngram-comp")
+        tiles, member = member, written(_mixed(member, comp), "ngram-residual")
+        release(tiles)
 
     # Star rounds: each class against a leader of its tiles, links merged to components.
-    links = comp = None
-    member = shared.withColumn("comp", F.col("cls"))
     for turn in range(STAR_ROUNDS):
-        found = _check(docs, classes, _stars(member, pct, turn), k, pct)
-        links = written(found if links is None else links.union(found), "ngram-links")
-        comp = components(links, "ngram-comp")
-        member = written(_mixed(shared, comp), "ngram-residual")
-
-    def merge(found: DataFrame) -> None:
-        nonlocal links, comp, member
-        links = written(links.union(found), "ngram-links")
-        comp = components(links, "ngram-comp")
-        member = written(_mixed(shared, comp), "ngram-residual")
+        merge(_check(docs, classes, _stars(member, pct, turn), known, k, pct))
 
     # What still lies in one tile but in several components is compared in full: small
     # tiles pair by pair; large ones first by each class's best candidate, again and
     # again while that finds links, so that few pairs are left for the full comparison.
-    merge(_check(docs, classes, _small_tiles(member, pct), k, pct))
+    merge(_check(docs, classes, _small_tiles(member, pct), known, k, pct))
     while True:
-        found = written(_check(docs, classes, _large_tiles(member, classes, pct, True), k, pct, True), "ngram-best")
+        found = _check(docs, classes, _large_tiles(member, classes, pct, True), known, k, pct, True)
         new = found.count()
         if new:
             merge(found)
-        if 20 * new <= links.count():  # the full comparison below finds the rest
+        if 20 * new <= sum(part.count() for part in links):  # the full comparison below finds the rest
             break
-    found = _check(docs, classes, _large_tiles(member, classes, pct, False), k, pct, True)
-    comp = components(written(links.union(found), "ngram-links"), "ngram-comp")
+    links.append(_check(docs, classes, _large_tiles(member, classes, pct, False), known, k, pct, True))
+    release(comp)
+    comp = components(reduce(DataFrame.unionAll, links), "ngram-comp")
+    release(member, classes, *known, *links)
 
     # Components take the name of their smallest document.
     named = (per_doc.filter("n > 0").join(comp.withColumnRenamed("node", "cls"), "cls", "left")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_path, spark_context
+from ..session import delete_path, scratch_path, spark_context
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -16,7 +16,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     sc = spark_context(spark)
     if sc is not None:  # shuffle files of finished steps go when the driver collects its garbage
         sc._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch = path  # known to this table only, not to frames derived from it
+    return out
+
+
+def release(*tables: DataFrame | None) -> None:
+    """Delete ``written`` tables that no frame still to be evaluated reads; other frames are left alone."""
+    for t in tables:
+        path = None if t is None else vars(t).pop("scratch", None)
+        if path:
+            delete_path(t.sparkSession, path)
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
@@ -28,10 +38,11 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     both = written(edges.select("a", "b").union(edges.select(F.col("b").alias("a"),
                                                              F.col("a").alias("b"))).distinct(),
                    f"{name}-edges")
-    label = written(both.groupBy(F.col("a").alias("node"))
-                    .agg(F.min("b").alias("m"))
-                    .select("node", F.least("node", "m").alias("comp")), name)
+    last = written(both.groupBy(F.col("a").alias("node"))
+                   .agg(F.min("b").alias("m"))
+                   .select("node", F.least("node", "m").alias("comp")), name)
     while True:
+        label = last.select("node", "comp")
         near = (both.join(label.withColumnRenamed("node", "b"), "b")
                 .groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("m")))
         step = (label.join(near, "node", "left")
@@ -41,6 +52,10 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         new = written(step.join(root, "comp", "left")
                       .select("node", "old", F.least("comp", F.coalesce("up", "comp")).alias("comp")),
                       name)
-        label = new.select("node", "comp")
+        release(last)
+        last = new
         if new.filter("old <> comp").limit(1).count() == 0:
+            release(both)
+            label = new.select("node", "comp")
+            label.scratch = vars(new).pop("scratch")
             return label

@@ -31,10 +31,12 @@ def main(argv=None) -> int:
     lv.add_argument("--checkpoint", required=True)
     lv.add_argument("--trigger", default="1 second")
     lv.add_argument("--state-partitions", type=int, default=None)
+    lv.add_argument("--delay", default="0 seconds", help="how long a day stays open for late rows")
     r = sub.add_parser("replay")
     r.add_argument("--csv", required=True)
     r.add_argument("--messages", required=True)
     r.add_argument("--steps", type=int, default=8)
+    r.add_argument("--rejects", help="folder of refused rows (default: MESSAGES-rejects)")
     for sp in (d, lv, r):
         sp.add_argument("--master", default=None)
     args = p.parse_args(argv)
@@ -45,6 +47,7 @@ def main(argv=None) -> int:
         api.publish_daily(api.read_store(spark, args.store), args.out, args.date)
     elif args.cmd == "replay":
         good, bad = api.split_valid(api.raw_to_player_rounds(api.read_raw_csv(spark, args.csv)))
+        bad.write.mode("append").parquet(args.rejects or f"{args.messages.rstrip('/')}-rejects")
         api.write_replay(good, args.messages, args.steps)
     else:
         if args.kafka and not args.topic:
@@ -57,7 +60,7 @@ def main(argv=None) -> int:
         queries = api.start_live(msgs, args.out, args.checkpoint, trigger,
                                  state_partitions=args.state_partitions)
         queries.append(api.start_daily_closer(spark, f"{args.out}/store", args.out,
-                                              args.checkpoint, trigger,
+                                              args.checkpoint, trigger, args.delay,
                                               state_partitions=args.state_partitions))
         spark.streams.awaitAnyTermination()
     return 0

@@ -55,7 +55,7 @@ def publish_daily(pr: DataFrame, out: str, date: str | None = None) -> None:
 def write_replay(pr: DataFrame, path: str, steps: int = 8, style: str = "python") -> int:
     """Write the rows as wire messages in ``steps`` day ranges, oldest first,
     each range its own job (a file source then sees the ranges in order)."""
-    return replay_steps(pr, F.col("date").cast("int"), steps,
+    return replay_steps(pr, F.col("date").try_cast("int"), steps,
                         lambda df, i: encode_wire(df, style).write.mode("append").text(path),
                         filter_col=F.col("date"), to_value=lambda v: f"{int(v):08d}")
 

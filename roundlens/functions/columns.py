@@ -19,6 +19,8 @@ ROLES = (ATTACKER, DEFENDER)
 # every other value falls into the last one.
 PLATFORM_SERIES = ("pc", "ps4", "xbox")
 DEFAULT_PLATFORM_BUCKETS = ("PC", "PS4")
+# A remainder below this many units may be multiplied by 100 within a long.
+WIDE_FROM = 9 * 10 ** 14
 
 
 def _c(x) -> Column:
@@ -29,8 +31,7 @@ def _c(x) -> Column:
 
 def int_div(a, b) -> Column:
     """Floor division of non-negative integers, exact (no float rounding)."""
-    a, b = _c(a).cast("long"), _c(b).cast("long")
-    return ((a - a % b) / b).cast("long")
+    return F.call_function("div", _c(a).cast("long"), _c(b).cast("long"))
 
 
 def division(operator="operator") -> Column:
@@ -51,16 +52,22 @@ def points(kills="kills", has_won="has_won", kill_points: int = KILL_POINTS,
 def half_even_2(num, den) -> Column:
     """``num/den`` rounded to 2 places, ties to even, on the exact rational.
 
-    Integer arithmetic only, so the result does not depend on how a binary
+    Integral division only, so the result does not depend on how a binary
     double blurs a hundredth tie.  Both arguments are non-negative integers,
-    ``den > 0``.
+    ``den > 0``.  The hundredfold quotient is taken of whole part and remainder
+    apart; only remainders past 9e14 leave long arithmetic, for decimals.
     """
-    n100 = _c(num).cast("long") * F.lit(100)
-    d = _c(den).cast("long")
-    r = n100 % d
-    q = ((n100 - r) / d).cast("long")
-    bump = F.when((r * 2 > d) | ((r * 2 == d) & (q % 2 == 1)), F.lit(1)).otherwise(F.lit(0))
-    return (q + bump).cast("double") / F.lit(100.0)
+    n, d = _c(num).cast("long"), _c(den).cast("long")
+    whole, rest = F.call_function("div", n, d), n % d
+    wide = F.lit(100).cast("decimal(3,0)") * rest.cast("decimal(19,0)")
+    small = d <= F.lit(WIDE_FROM)
+    part = F.when(small, F.call_function("div", rest * 100, d)).otherwise(
+        F.call_function("div", wide, d.cast("decimal(19,0)")))
+    r = F.when(small, rest * 100 - part * d).otherwise((wide % d.cast("decimal(19,0)")).cast("long"))
+    # Twice the remainder against the divisor, without doubling past a long.
+    up = (r > d - r) | ((r == d - r) & ((whole * 100 + part) % 2 == 1))
+    q = whole * 100 + part + F.when(up, F.lit(1)).otherwise(F.lit(0))
+    return q.cast("double") / F.lit(100.0)
 
 
 def ratio2(num, den) -> Column:
@@ -80,6 +87,13 @@ def day_label(date="date") -> Column:
     return F.concat_ws("-", F.substring(d, 7, 2), F.substring(d, 5, 2), F.substring(d, 1, 4))
 
 
+def is_day(date="date") -> Column:
+    """Whether the text is a calendar day ``yyyyMMdd`` (never NULL)."""
+    d = _c(date)
+    day = F.try_to_timestamp(d, F.lit("yyyyMMdd"))
+    return F.coalesce(d.rlike("^[0-9]{8}$") & day.isNotNull(), F.lit(False))
+
+
 def platform_bucket(platform="platform", buckets=DEFAULT_PLATFORM_BUCKETS,
                     names=PLATFORM_SERIES) -> Column:
     """Map a platform to its series: listed values first, everything else last."""

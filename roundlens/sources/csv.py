@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import is_day
 from ..schema import INT_COLUMNS, PLAYER_ROUNDS_COLUMNS, RAW_COLUMNS, RAW_FOR_FACT, RAW_SCHEMA
 
 
@@ -20,25 +23,27 @@ def raw_to_player_rounds(raw: DataFrame, strict: bool = False) -> DataFrame:
     Header lines repeated inside concatenated files (``matchid`` in the match
     column) are dropped.  With ``strict`` a bad integer fails the job (ANSI
     cast); otherwise it becomes NULL and the row is flagged in ``_error`` so
-    ``split_valid`` can quarantine it.
+    ``split_valid`` can quarantine it, like a row with an empty integer field
+    or a date that is no calendar day.
     """
     body = raw.where(F.col("matchid").isNull() | (F.col("matchid") != F.lit("matchid")))
-    cols, bad = [], []
+    cols, bad, null = [], [], []
     for name in PLAYER_ROUNDS_COLUMNS:
         src = F.col(RAW_FOR_FACT[name])
         if name in INT_COLUMNS:
             text = F.trim(src)
             val = text.cast("int") if strict else text.try_cast("int")
             bad.append(src.isNotNull() & val.isNull())
+            null.append(src.isNull())
             cols.append(val.alias(name))
         else:
             cols.append(src.alias(name))
-    any_bad = F.lit(False)
-    for b in bad:
-        any_bad = any_bad | b
+    any_bad, any_null = reduce(Column.__or__, bad), reduce(Column.__or__, null)
     err = F.when(F.col("matchid").isNull(), F.lit("short_row")) \
-           .when(any_bad, F.lit("bad_int")).otherwise(F.lit(None).cast("string"))
-    return body.select(*cols, err.alias("_error"))
+           .when(any_bad, F.lit("bad_int")).when(any_null, F.lit("null_field")) \
+           .when(~is_day(F.col(RAW_FOR_FACT["date"])), F.lit("bad_date")) \
+           .otherwise(F.lit(None).cast("string"))
+    return body.select(F.explode(F.array(F.struct(*cols, err.alias("_error")))).alias("_row")).select("_row.*")
 
 
 def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:

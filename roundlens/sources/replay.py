@@ -83,7 +83,7 @@ def replay_steps(df: DataFrame, order: Column, steps: int,
     """Write ``df`` in ``steps`` contiguous ranges of ``order``, oldest first.
 
     Cut points are computed on ``order``; each step filters ``filter_col``
-    (default ``order``) against ``to_value(cut)``, so the filter can be a plain
+    (default ``order``; rows where it is NULL go with the first step) against ``to_value(cut)``, so the filter can be a plain
     column comparison that reaches the Parquet scan (row-group min/max
     skipping on a range-sorted table, or folder pruning on a partitioned one).
     """
@@ -93,6 +93,9 @@ def replay_steps(df: DataFrame, order: Column, steps: int,
     for i in range(len(edges) - 1):
         lo, hi = edges[i], edges[i + 1]
         cond = F.lit(True)
+        if lo is None and hi is not None:  # rows without a key come first, as in an ascending sort
+            cond = col.isNull() | (col <= F.lit(to_value(hi)))
+            hi = None
         # Ranges are (lo, hi]: a cut point closes the range it was taken from.
         if lo is not None:
             cond = cond & (col > F.lit(to_value(lo)))

@@ -75,7 +75,7 @@ def player_rounds_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.lit(1) + (F.col("l_suppkey") * 3) % 300).cast("int").alias("clearance_level"),
         role.alias("role"),
         F.when(role == win_role, F.lit(1)).otherwise(F.lit(0)).alias("has_won"),
-        F.concat_ws("-", "p_brand", "p_type").alias("operator"),
+        F.concat("p_brand", F.lit("-"), "p_type").alias("operator"),
         (F.floor("l_quantity").cast("int") % 6).alias("kills"),
         F.when(F.col("l_returnflag") == "R", F.lit(1)).otherwise(F.lit(0)).alias("is_dead"),
         F.col("l_linestatus").alias("primary_weapon_type"),

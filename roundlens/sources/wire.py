@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import is_day
 from ..schema import INT_COLUMNS, WIRE_KEY, WIRE_NUMERIC, WIRE_VALUE
 
 # Characters the legacy decoder strips before splitting on a space.
@@ -58,12 +59,14 @@ def _typed(cells: list[Column]) -> list[Column]:
     return out
 
 
-def _int_errors(cells: list[Column]) -> Column:
-    bad = F.lit(False)
+def _int_errors(cells: list[Column]) -> tuple[Column, Column]:
+    """(a required integer is NULL, a cell that should be an integer is none)."""
+    null, bad = F.lit(False), F.lit(False)
     for name, c in zip(WIRE_FIELDS, cells):
         if name in INT_COLUMNS:
+            null = null | c.isNull()
             bad = bad | (c.isNotNull() & F.trim(c).try_cast("int").isNull())
-    return bad
+    return null, bad
 
 
 def decode_wire(msgs: DataFrame, mode: str = "json", value_col: str = "value",
@@ -71,6 +74,11 @@ def decode_wire(msgs: DataFrame, mode: str = "json", value_col: str = "value",
     """Message text → canonical columns + ``_error`` (NULL when the row is good),
     after the ``keep`` columns of the input.
 
+    ``_error`` is the first that holds of ``not_json`` / ``not_text``, ``arity``,
+    ``bad_int``, ``null_field`` (a NULL integer or match_id) and ``bad_date`` (no
+    ``yyyyMMdd`` calendar day).  Each message is parsed once: the decoded row
+    leaves through ``explode``, which filters on ``_error`` do not pass.
+
     With ``strict`` a bad message fails the job instead of being flagged.
     """
     v = F.col(value_col).cast("string")
@@ -90,8 +98,12 @@ def decode_wire(msgs: DataFrame, mode: str = "json", value_col: str = "value",
                .when(F.size(m) != len(WIRE_FIELDS), F.lit("arity")))
     else:
         raise ValueError("mode must be 'json' or 'legacy'")
-    err = err.when(_int_errors(cells), F.lit("bad_int")).otherwise(F.lit(None).cast("string"))
-    out = parsed.select(*keep, *_typed(cells), err.alias("_error"))
+    null, bad = _int_errors(cells)
+    typed = dict(zip(WIRE_FIELDS, cells))
+    err = (err.when(bad, F.lit("bad_int")).when(null | typed["match_id"].isNull(), F.lit("null_field"))
+           .when(~is_day(typed["date"]), F.lit("bad_date")).otherwise(F.lit(None).cast("string")))
+    row = F.struct(*_typed(cells), err.alias("_error"))
+    out = parsed.select(*keep, F.explode(F.array(row)).alias("_row")).select(*keep, "_row.*")
     if strict:
         # Folded into a kept column so the check cannot be pruned away.
         fail = F.raise_error(F.concat(F.lit("undecodable message: "), F.col("_error")))

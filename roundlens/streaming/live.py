@@ -258,7 +258,7 @@ def closed_days(pr: DataFrame, delay: str = "0 seconds") -> DataFrame:
     """One row per day of the fact stream, emitted when the day closes."""
     # A one-day window closes when its *end* passes the watermark, i.e. once a
     # later day has arrived; the newest day stays open.
-    return (pr.withColumn("_day_ts", F.to_timestamp("date", "yyyyMMdd"))
+    return (pr.withColumn("_day_ts", F.try_to_timestamp("date", F.lit("yyyyMMdd")))
             .withWatermark("_day_ts", delay)
             .groupBy(F.window("_day_ts", "1 day"), "date").agg(F.count(F.lit(1)).alias("rows"))
             .select("date", "rows"))

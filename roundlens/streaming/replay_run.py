@@ -60,7 +60,7 @@ def replay_fact(spark: SparkSession, fact: DataFrame, steps: int,
             _drain([live.start_store(good, f"{out}/store", ckpt, AVAILABLE_NOW)])
             _drain([live.start_daily_closer(spark, f"{out}/store", out, ckpt, AVAILABLE_NOW)])
 
-    replay_steps(staged, F.col("date").cast("int"), steps, write_step, after_step,
+    replay_steps(staged, F.col("date").try_cast("int"), steps, write_step, after_step,
                  filter_col=F.col("date"), to_value=lambda v: f"{int(v):08d}")
     return out
 

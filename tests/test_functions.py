@@ -25,6 +25,13 @@ def test_ratio2_is_exact_half_even(spark, pairs):
     assert got == want
 
 
+def test_ratio2_is_exact_for_large_totals(spark):
+    pairs = [(752210160001003, 669073557096), (9 * 10**16, 7), (9 * 10**16 + 1, 9 * 10**16 - 3),
+             (4 * 10**18, 8 * 10**18), (5, 1000), (15, 1000), (9 * 10**18, 9 * 10**18 - 1)]
+    df = spark.createDataFrame(pairs, "n long, d long")
+    assert [r["r"] for r in df.select(ratio2("n", "d").alias("r")).collect()] == [exact_half_even(*x) for x in pairs]
+
+
 def test_hour_field_keeps_all_digits(spark):
     df = spark.createDataFrame([(0,), (59,), (3599,), (360280,), (36000000,)], "t long")
     got = [r[0] for r in df.select(hms("t")).collect()]

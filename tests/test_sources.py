@@ -4,6 +4,7 @@ import json
 
 from conftest import golden_rows, rows
 
+from roundlens import api
 from roundlens.schema import PLAYER_ROUNDS_COLUMNS, PLAYER_ROUNDS_SCHEMA, RAW_COLUMNS
 from roundlens.session import scratch_path
 from roundlens.sources import csv as csv_source
@@ -48,9 +49,36 @@ def test_quarantine_of_bad_messages(spark):
     msgs = spark.createDataFrame(
         [("not json",), ('[["d","m"],["too","few"]]',),
          ('[["d","m"],["g","m",1,"A","x","5","R",1,"O",2,1,"W","P"]]',),
-         ('[["d","m"],["g","m","1","A","5","5","R","1","O","2","1","W","P"]]',)], "value string")
+         ('[["d","m"],["g","m","1","A","5","5","R","1","O","2","1","W","P"]]',),
+         ('[["20170230","m"],["g","m","1","A","5","5","R","1","O","2","1","W","P"]]',),
+         ('[[null,"m"],["g","m","1","A","5","5","R","1","O","2","1","W","P"]]',),
+         ('[["20170210","m"],["g","m","1","A","5","5","R",null,"O","2","1","W","P"]]',),
+         ('[["20170210",null],["g","m","1","A","5","5","R","1","O","2","1","W","P"]]',),
+         ('[["20170210","m"],["g","m","1","A","5","5","R","1","O","2","1","W","P"]]',)], "value string")
     got = [r["_error"] for r in wire.decode_wire(msgs).collect()]
-    assert got == ["not_json", "arity", "bad_int", None]
+    assert got == ["not_json", "arity", "bad_int", "bad_date", "bad_date", "bad_date",
+                   "null_field", "null_field", None]
+    good, bad = csv_source.split_valid(wire.decode_wire(msgs))
+    assert good.count() + bad.count() == msgs.count()
+
+
+def test_each_message_is_parsed_once(golden):
+    for mode, parser in (("json", "from_json"), ("legacy", "translate(")):
+        for df in csv_source.split_valid(wire.decode_wire(wire.encode_wire(golden), mode)):
+            plan = df._jdf.queryExecution().optimizedPlan().toString()
+            assert plan.lower().count(parser) == 1, (mode, plan)
+
+
+def test_replay_keeps_rows_without_a_day(spark, golden):
+    none = spark.createDataFrame([(None, *golden_rows()[0][1:])] * 3, PLAYER_ROUNDS_SCHEMA)
+    for steps in (1, 2, 3, 8):
+        path = scratch_path(spark, "replay-test")
+        api.write_replay(golden.union(none), path, steps)
+        back = spark.read.text(path)
+        assert back.count() == 13
+        good, bad = csv_source.split_valid(wire.decode_wire(back))
+        assert rows(good) == rows(golden)
+        assert [r["_error"] for r in bad.collect()] == ["bad_date"] * 3
 
 
 def test_raw_csv_header_repeat_and_bad_int(spark, golden):

@@ -33,8 +33,9 @@ from pyspark.sql.functions import arrow_udf
 from .spread import components, release, written
 from .text import chunks, mix, shingle_hashes
 
-COMMON_SHARE = 0.01     # a shingle in 1% of the documents of a chunk counts as common there
-COMMON_LIST = 100_000   # most common shingles ordered last (an order only, nothing is dropped)
+FREQUENT = 8            # a shingle occurring so often is ordered after the others (an order only)
+FREQUENT_BITS = 1 << 24  # bits of the bitmap that marks such shingles (2 MB)
+COMMON_LIST = 100_000   # most frequent shingles, ordered last by count
 SALT_ROWS = 200_000     # a key expected in more documents than this is dealt over several buckets
 STAR_ROUNDS = 2
 SMALL_TILE = 16
@@ -42,27 +43,97 @@ TILE_ROWS = 2048        # members of one all-against-all tile
 SIG_BITS_PER_ITEM = 2
 
 _U64 = np.uint64
+_NAME = _U64(16)  # the name of a shingle is its hash without so many low bits
 
 
-def _common_shingles(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(sorted shingle hashes, their estimated document counts), at most ``COMMON_LIST``."""
+class Frequent:
+    """Which shingles are frequent, by name (the upper 48 bits of the hash).
+
+    ``marks`` is a bitmap of ``FREQUENT_BITS`` bits that marks every shingle occurring
+    ``FREQUENT`` times or more (and, as it fills, some others); ``names`` and ``counts``
+    hold the ``COMMON_LIST`` most frequent ones.  Both sizes are fixed.
+    """
+
+    def __init__(self, marks: np.ndarray, names: np.ndarray, counts: np.ndarray):
+        self.marks, self.names, self.counts = marks, names, counts
+
+    def marked(self, h: np.ndarray) -> np.ndarray:
+        at = (h >> _NAME) & _U64(FREQUENT_BITS - 1)
+        return (self.marks[(at >> _U64(6)).astype(np.int64)] >> (at & _U64(63)) & _U64(1)).astype(bool)
+
+    def count(self, h: np.ndarray) -> np.ndarray:
+        """Occurrences of listed shingles, 0 for others."""
+        if not len(self.names):
+            return np.zeros(len(h), np.int64)
+        name = h >> _NAME
+        at = np.minimum(np.searchsorted(self.names, name), len(self.names) - 1)
+        return np.where(self.names[at] == name, self.counts[at], 0)
+
+    def prefix(self, s: np.ndarray, take: int) -> np.ndarray:
+        """First ``take`` shingles of the sorted set ``s``: infrequent, frequent, listed by count; then by hash."""
+        marked = self.marked(s)
+        rare = s[~marked]
+        if len(rare) < take:
+            rest = s[marked]
+            rare = np.concatenate([rare, rest[np.lexsort((rest, self.count(rest)))]])
+        return rare[:take]
+
+
+def _frequent_shingles(docs: DataFrame, k: int, buckets: int) -> Frequent:
+    """Count all shingles: distinct names of a chunk with their counts meet in ranges of names."""
+    limits = np.array([j * (2**64 // buckets) for j in range(1, buckets)], _U64)
+    low = _U64((1 << 16) - 1)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for c in chunks(batches):
             h, _ = shingle_hashes(c, k)
-            least = max(4, int(COMMON_SHARE * len(c.valid)))
-            h.sort()
+            h = np.sort(h & ~low)
             edge = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1], [True]])) if len(h) else np.zeros(1, int)
-            n = np.diff(edge)
-            pick = n >= least
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(h[edge[:-1]][pick].view(np.int64)), pa.array(n[pick].astype(np.int64))], ["h", "n"])
+            h = h[edge[:-1]] | np.minimum(np.diff(edge), int(low)).astype(_U64)
+            cut = np.concatenate([[0], np.searchsorted(h, limits), [len(h)]])
+            own = np.flatnonzero(np.diff(cut))
+            yield pa.record_batch({
+                "bucket": pa.array(own.astype(np.int32)),
+                "entries": pa.array([h[cut[j]:cut[j + 1]].tobytes() for j in own], pa.binary())})
+
+    def total(parts: list[bytes]) -> Iterator[pa.RecordBatch]:
+        e = np.sort(np.frombuffer(b"".join(parts), _U64))
+        name = e >> _NAME
+        edge = np.flatnonzero(np.concatenate([[True], name[1:] != name[:-1]]))
+        n = np.add.reduceat((e & low).astype(np.int64), edge)
+        pick = n >= FREQUENT
+        yield pa.record_batch({"h": pa.array(name[edge][pick].view(np.int64)), "n": pa.array(n[pick])})
+
+    packed = docs.select("text").mapInArrow(count, "bucket int, entries binary")
+    counted = written(_by_bucket(packed, total, "h long, n long"), "ngram-counts")
+    at = F.col("h").bitwiseAND(F.lit(FREQUENT_BITS - 1))
+    words = (counted.select(at.alias("at")).groupBy(F.expr("cast(at div 64 as int)").alias("word"))
+             .agg(F.expr("bit_or(shiftleft(1L, cast(at % 64 as int)))").alias("bits")).toPandas())
+    top = counted.orderBy(F.desc("n"), "h").limit(COMMON_LIST).toPandas()
+    release(counted)
+    marks = np.zeros(FREQUENT_BITS // 64, _U64)
+    marks[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).view(_U64)
+    names = top["h"].to_numpy(np.int64).view(_U64)
+    order = np.argsort(names)
+    return Frequent(marks, names[order], top["n"].to_numpy(np.int64)[order])
+
+
+def _by_bucket(packed: DataFrame, group, schema: str) -> DataFrame:
+    """Bring the packed ``entries`` of each bucket together and apply ``group`` to their list."""
 
-    top = (docs.select("text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-           .orderBy(F.desc("n"), "h").limit(COMMON_LIST).toPandas())
-    h = top["h"].to_numpy(np.int64).view(_U64)
-    order = np.argsort(h)
-    return h[order], top["n"].to_numpy(np.int64)[order]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, parts = None, []
+        for batch in batches:
+            for b, e in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if b != now:
+                    if parts:
+                        yield from group(parts)
+                    now, parts = b, []
+                parts.append(e.as_py())
+        if parts:
+            yield from group(parts)
+
+    return packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, schema)
 
 
 def _sig_bits(n: int) -> int:
@@ -95,9 +166,8 @@ def _linked(inter, nx, ny, pct: int):
     return 100 * inter >= pct * (nx + ny - inter)
 
 
-def _shape_docs(docs: DataFrame, k: int, pct: int, common, buckets: int) -> DataFrame:
+def _shape_docs(docs: DataFrame, k: int, pct: int, common: Frequent, buckets: int) -> DataFrame:
     """Per document its set size, set hash and signature; per chunk and bucket the packed prefix entries."""
-    hot_h, hot_n = common
 
     def shape(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for c in chunks(batches):
@@ -120,14 +190,7 @@ def _shape_docs(docs: DataFrame, k: int, pct: int, common, buckets: int) -> Data
                     continue
                 seen.add(cls[i])
                 take = n - -(-n * pct // 100) + 1
-                at = np.searchsorted(hot_h, s)
-                hot = hot_h[np.minimum(at, len(hot_h) - 1)] == s if len(hot_h) else np.zeros(n, bool)
-                rare = s[~hot]
-                if len(rare) < take:
-                    last = np.flatnonzero(hot)
-                    last = last[np.lexsort((s[last], hot_n[at[last]]))]
-                    rare = np.concatenate([rare, s[last]])
-                keys.append(rare[:take])
+                keys.append(common.prefix(s, take))
                 key_cls.append(np.full(take, cls[i], _U64))
                 key_n.append(np.full(take, n, np.int32))
             doc = pa.record_batch({
@@ -157,13 +220,9 @@ def _shape_docs(docs: DataFrame, k: int, pct: int, common, buckets: int) -> Data
 _ENTRY = np.dtype([("key", "<u8"), ("cls", "<u8"), ("n", "<i4")])
 
 
-def _salts(key: np.ndarray, common) -> np.ndarray:
+def _salts(key: np.ndarray, common: Frequent) -> np.ndarray:
     """Buckets over which each key is dealt: one, or more for a very common key."""
-    hot_h, hot_n = common
-    if not len(hot_h):
-        return np.ones(len(key), _U64)
-    at = np.minimum(np.searchsorted(hot_h, key), len(hot_h) - 1)
-    return np.where(hot_h[at] == key, -(-hot_n[at] // SALT_ROWS), 1).astype(_U64)
+    return np.maximum(-(-common.count(key) // SALT_ROWS), 1).astype(_U64)
 
 
 def _set_hash(s: np.ndarray) -> np.uint64:
@@ -172,7 +231,7 @@ def _set_hash(s: np.ndarray) -> np.uint64:
         return mix(np.array([mix(s + _U64(0x5851F42D4C957F2D)).sum(dtype=_U64) + _U64(len(s))]))[0]
 
 
-def _shared_keys(rows: DataFrame, common) -> DataFrame:
+def _shared_keys(rows: DataFrame, common: Frequent) -> DataFrame:
     """(key, cls, n) of prefix keys that two or more classes hold, from the packed buckets."""
 
     def group(parts: list[bytes]) -> Iterator[pa.RecordBatch]:
@@ -188,21 +247,8 @@ def _shared_keys(rows: DataFrame, common) -> DataFrame:
                                    "cls": pa.array(p["cls"].copy().view(np.int64)),
                                    "n": pa.array(p["n"].astype(np.int64))})
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, parts = None, []
-        for batch in batches:
-            for b, e in zip(batch.column(0).to_pylist(), batch.column(1)):
-                if b != now:
-                    if parts:
-                        yield from group(parts)
-                    now, parts = b, []
-                parts.append(e.as_py())
-        if parts:
-            yield from group(parts)
-
     packed = rows.filter("entries is not null").select("bucket", "entries")
-    return (packed.repartition("bucket").sortWithinPartitions("bucket")
-            .mapInArrow(run, "key long, cls long, n long"))
+    return _by_bucket(packed, group, "key long, cls long, n long")
 
 
 def _pairs_within_bound(pairs: DataFrame, sigs: DataFrame, pct: int) -> DataFrame:
@@ -399,8 +445,8 @@ def jaccard_components(docs: DataFrame, k: int = 5, pct: int = 80) -> DataFrame:
     Jaccard similarity; component_id is the smallest doc_id reachable by links.
     """
     spark = docs.sparkSession
-    common = _common_shingles(docs, k)
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")) * 2, 32)
+    common = _frequent_shingles(docs, k, 4 * buckets)
     shaped = written(_shape_docs(docs, k, pct, common, buckets), "ngram-shaped")
     per_doc = written(shaped.filter("entries is null").select("doc_id", "n", "cls"), "ngram-docs")
     classes = written(shaped.filter("n > 0").groupBy("cls").agg(

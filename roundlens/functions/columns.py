@@ -39,9 +39,14 @@ def division(operator="operator") -> Column:
     return F.split_part(_c(operator), F.lit("-"), F.lit(1))
 
 
-def operator_name(operator="operator") -> Column:
-    """Name part of ``DIVISION-NAME``: its second dash token ('' without a dash)."""
-    return F.split_part(_c(operator), F.lit("-"), F.lit(2))
+def operator_name(operator="operator", strict: bool = False) -> Column:
+    """Name part of ``DIVISION-NAME``: its second dash token ('' without a dash;
+    with ``strict`` a label without a dash fails the job, as originally)."""
+    name = F.split_part(_c(operator), F.lit("-"), F.lit(2))
+    if not strict:
+        return name
+    fail = F.raise_error(F.concat(F.lit("operator label without a dash: "), _c(operator)))
+    return F.when(_c(operator).contains("-") | _c(operator).isNull(), name).otherwise(fail.cast("string"))
 
 
 def points(kills="kills", has_won="has_won", kill_points: int = KILL_POINTS,

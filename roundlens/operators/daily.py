@@ -20,6 +20,25 @@ from ..functions.columns import DEFAULT_PLATFORM_BUCKETS, PLATFORM_SERIES
 from .ranking import arg_best, top_k
 
 
+def operator_day_totals(pr: DataFrame, kill_points: int = KILL_POINTS,
+                        win_points: int = WIN_POINTS) -> DataFrame:
+    """Per (date, operator): every sum that the division and operator reports need.
+
+    The division is a function of the operator, so both reports come from this one
+    aggregate.  ``role`` is the smallest role seen: the daily operator report has one
+    line per operator, whatever roles it played.
+    """
+    return pr.groupBy("date", "operator").agg(
+        F.min("role").alias("role"),
+        F.sum("kills").cast("long").alias("kills"),
+        F.sum("is_dead").cast("long").alias("deaths"),
+        F.sum("has_won").cast("long").alias("wins"),
+        F.count(F.lit(1)).alias("rounds"),
+        F.sum(points("kills", "has_won", kill_points, win_points)).cast("long").alias("points"),
+        F.sum("clearance_level").cast("long").alias("sum_level"),
+        F.sum("round_duration").cast("long").alias("total_time"))
+
+
 # --- B1: division scoreboard ------------------------------------------------------------
 
 def division_scoreboard(pr: DataFrame, kill_points: int = KILL_POINTS,
@@ -28,12 +47,14 @@ def division_scoreboard(pr: DataFrame, kill_points: int = KILL_POINTS,
 
     Time is summed per player row (not per round), as the report defines it.
     """
-    agg = pr.groupBy("date", division("operator").alias("division")).agg(
-        F.sum(points("kills", "has_won", kill_points, win_points)).cast("long").alias("points"),
-        F.sum("clearance_level").alias("_sum_level"),
-        F.count(F.lit(1)).alias("_n"),
-        F.sum("round_duration").cast("long").alias("total_time"),
-    )
+    return division_scoreboard_of(operator_day_totals(pr, kill_points, win_points))
+
+
+def division_scoreboard_of(per_operator: DataFrame) -> DataFrame:
+    """``division_scoreboard`` from ``operator_day_totals`` rows."""
+    agg = per_operator.groupBy("date", division("operator").alias("division")).agg(
+        F.sum("points").alias("points"), F.sum("sum_level").alias("_sum_level"),
+        F.sum("rounds").alias("_n"), F.sum("total_time").alias("total_time"))
     return agg.select(
         "date", "division", "points",
         half_even_2("_sum_level", "_n").alias("avg_level"),
@@ -42,7 +63,11 @@ def division_scoreboard(pr: DataFrame, kill_points: int = KILL_POINTS,
 
 def division_topk(pr: DataFrame, k: int = 5, **kw) -> DataFrame:
     """Top-k divisions of each day by points (ties: division name)."""
-    board = division_scoreboard(pr, **kw)
+    return division_topk_of(division_scoreboard(pr, **kw), k)
+
+
+def division_topk_of(board: DataFrame, k: int = 5) -> DataFrame:
+    """``division_topk`` from ``division_scoreboard`` rows."""
     ranked = top_k(board, ["date"], [F.col("points").desc(), F.col("division").asc()], k)
     return ranked.select("date", "division", "points", "avg_level", "time_hms", "rank")
 
@@ -56,27 +81,30 @@ def operator_ratios(pr: DataFrame, single_row: str = "compute") -> DataFrame:
     ``single_row="zero"`` reproduces the original job, where an operator with a
     single row kept both ratios at 0 because its reducer never ran.
     """
+    return operator_ratios_of(operator_day_totals(pr), single_row)
+
+
+def operator_ratios_of(per_operator: DataFrame, single_row: str = "compute") -> DataFrame:
+    """``operator_ratios`` from ``operator_day_totals`` rows."""
     if single_row not in ("compute", "zero"):
         raise ValueError("single_row must be 'compute' or 'zero'")
-    agg = pr.groupBy("date", "operator").agg(
-        F.min("role").alias("role"),
-        F.sum("kills").cast("long").alias("kills"),
-        F.sum("is_dead").cast("long").alias("deaths"),
-        F.sum("has_won").cast("long").alias("wins"),
-        F.count(F.lit(1)).alias("rounds"),
-    )
     kr, rr = ratio2("kills", "deaths"), ratio2("wins", "rounds")
     if single_row == "zero":
         kr = F.when(F.col("rounds") == 1, F.lit(0.0)).otherwise(kr)
         rr = F.when(F.col("rounds") == 1, F.lit(0.0)).otherwise(rr)
-    return agg.select("date", "operator", "role", "kills", "deaths", "wins", "rounds",
-                      kr.alias("kill_ratio"), rr.alias("round_ratio"))
+    return per_operator.select("date", "operator", "role", "kills", "deaths", "wins", "rounds",
+                               kr.alias("kill_ratio"), rr.alias("round_ratio"))
 
 
 def operator_topk(pr: DataFrame, k: int = 3, kill_divisor: int = 3,
                   single_row: str = "compute") -> DataFrame:
     """Top-k operators of each day by ``kill_ratio/3 + round_ratio`` (ties: name)."""
-    ratios = operator_ratios(pr, single_row=single_row).withColumn(
+    return operator_topk_of(operator_ratios(pr, single_row=single_row), k, kill_divisor)
+
+
+def operator_topk_of(ratios: DataFrame, k: int = 3, kill_divisor: int = 3) -> DataFrame:
+    """``operator_topk`` from ``operator_ratios`` rows."""
+    ratios = ratios.withColumn(
         "_score", score("kill_ratio", "round_ratio", kill_divisor))
     ranked = top_k(ratios, ["date"], [F.col("_score").desc(), F.col("operator").asc()], k)
     return ranked.select("date", "operator", "role", "kill_ratio", "round_ratio", "rounds", "rank")
@@ -143,16 +171,17 @@ def daily_reports(pr: DataFrame, date: str | None = None, **kw) -> dict[str, Dat
 
 def daily_report_set(pr: DataFrame, date: str | None = None,
                      **kw) -> tuple[dict[str, DataFrame], list[DataFrame]]:
-    """(reports, shared inputs).  The platform summary and the series share the
-    per-(day, platform, map) table, the output of the costliest aggregation
-    (the per-round dedupe); persist the shared inputs to compute it once."""
+    """(reports, shared inputs).  Divisions and operators share the per-(day,
+    operator) totals, the platform summary and the series the per-(day, platform,
+    map) table; with the shared inputs persisted the fact is read twice."""
     if date is not None:
         pr = pr.where(F.col("date") == F.lit(date))
-    per_map = platform_map_time(pr)
+    per_operator, per_map = operator_day_totals(pr), platform_map_time(pr)
+    ratios = operator_ratios_of(per_operator, kw.get("single_row", "compute"))
     reports = {
-        "divisions": division_topk(pr),
-        "operators": operator_topk(pr, single_row=kw.get("single_row", "compute")),
+        "divisions": division_topk_of(division_scoreboard_of(per_operator)),
+        "operators": operator_topk_of(ratios),
         "platforms": platform_summary_of(per_map),
         "series": platform_series_of(per_map),
     }
-    return reports, [per_map]
+    return reports, [per_operator, per_map]

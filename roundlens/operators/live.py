@@ -73,13 +73,19 @@ def mode_role_peak_match(pr: DataFrame) -> DataFrame:
 
 # --- T3: best attacker and defender per map ---------------------------------------------
 
-def map_operator_totals(pr: DataFrame) -> DataFrame:
-    """Totals per (map, operator) with the operator's (smallest) role."""
-    return pr.groupBy("map", "operator").agg(F.min("role").alias("role"), *operator_totals())
+def map_operator_totals(pr: DataFrame, merge_roles: bool = False) -> DataFrame:
+    """Totals per (map, operator, role).
 
+    ``merge_roles`` keeps the as-written key (map, operator): an operator seen in
+    both roles comes out once, under the smaller role, with the rounds of both.
+    """
+    if merge_roles:
+        return pr.groupBy("map", "operator").agg(F.min("role").alias("role"), *operator_totals())
+    return pr.groupBy("map", "operator", "role").agg(*operator_totals())
 
-def map_operator_stats(pr: DataFrame) -> DataFrame:
-    return with_ratios(map_operator_totals(pr)).select(
+
+def map_operator_stats(pr: DataFrame, merge_roles: bool = False) -> DataFrame:
+    return with_ratios(map_operator_totals(pr, merge_roles)).select(
         "map", "operator", "role", "kills", "deaths", "wins", "rounds", "kill_ratio",
         "round_ratio")
 
@@ -99,16 +105,16 @@ def best_per_map(stats: DataFrame, kill_divisor: int = 2,
     return out
 
 
-def map_best_operators(pr: DataFrame, require_both_roles: bool = False) -> DataFrame:
-    return best_per_map(with_ratios(map_operator_totals(pr)),
+def map_best_operators(pr: DataFrame, require_both_roles: bool = False,
+                       merge_roles: bool = False) -> DataFrame:
+    return best_per_map(with_ratios(map_operator_totals(pr, merge_roles)),
                         require_both_roles=require_both_roles)
 
 
 def map_best_by_day(pr: DataFrame) -> DataFrame:
     """Best attacker / defender per map for each day's rounds: the log the live
     map table is fed from, one entry per (day, map, role)."""
-    totals = pr.groupBy("date", "map", "operator").agg(F.min("role").alias("role"),
-                                                       *operator_totals())
+    totals = pr.groupBy("date", "map", "operator", "role").agg(*operator_totals())
     scored = with_ratios(totals).withColumn("_score", score("kill_ratio", "round_ratio", 2))
     best = top_k(scored, ["date", "map", "role"],
                  [F.col("_score").desc(), F.col("operator").asc()], 1)

@@ -99,6 +99,19 @@ pm AS (
 )"""
 
 MAP_OPERATOR = f"""
+mo AS (
+  SELECT map, operator, role,
+         CAST(sum(kills) AS BIGINT) AS kills, CAST(sum(is_dead) AS BIGINT) AS deaths,
+         CAST(sum(has_won) AS BIGINT) AS wins, count(*) AS rounds
+  FROM pr GROUP BY 1, 2, 3
+),
+mo_ratios AS (
+  SELECT map, operator, role, kills, deaths, wins, rounds,
+         {ratio('kills', 'deaths')} AS kill_ratio, {ratio('wins', 'rounds')} AS round_ratio
+  FROM mo
+)"""
+
+MAP_OPERATOR_AS_WRITTEN = f"""
 mo AS (
   SELECT map, operator, min(role) AS role,
          CAST(sum(kills) AS BIGINT) AS kills, CAST(sum(is_dead) AS BIGINT) AS deaths,
@@ -193,16 +206,22 @@ SELECT map, role, operator, kill_ratio, round_ratio FROM (
            ORDER BY kill_ratio / 2 + round_ratio DESC, operator ASC) AS rn
   FROM mo_ratios) WHERE rn = 1""", MAP_OPERATOR)
 
+MAP_BEST_OPERATORS_AS_WRITTEN = with_fact("""
+SELECT map, role, operator, kill_ratio, round_ratio FROM (
+  SELECT *, row_number() OVER (PARTITION BY map, role
+           ORDER BY kill_ratio / 2 + round_ratio DESC, operator ASC) AS rn
+  FROM mo_ratios) WHERE rn = 1""", MAP_OPERATOR_AS_WRITTEN)
+
 MAP_BEST_BY_DAY = with_fact(f"""
 SELECT date, map, role, operator, kill_ratio, round_ratio FROM (
   SELECT *, row_number() OVER (PARTITION BY date, map, role
            ORDER BY kill_ratio / 2 + round_ratio DESC, operator ASC) AS rn
   FROM (SELECT date, map, operator, role, {ratio('kills', 'deaths')} AS kill_ratio,
                {ratio('wins', 'rounds')} AS round_ratio
-        FROM (SELECT date, map, operator, min(role) AS role,
+        FROM (SELECT date, map, operator, role,
                      CAST(sum(kills) AS BIGINT) AS kills, CAST(sum(is_dead) AS BIGINT) AS deaths,
                      CAST(sum(has_won) AS BIGINT) AS wins, count(*) AS rounds
-              FROM pr GROUP BY 1, 2, 3)))
+              FROM pr GROUP BY 1, 2, 3, 4)))
 WHERE rn = 1""")
 
 STATEMENTS = {
@@ -321,7 +340,7 @@ DAILY_REPORT_ALL = with_fact(
     "SELECT date, section, item, value FROM lines WHERE date < (SELECT max(date) FROM pr)",
     *REPORT_CTES)
 
-LATEST_CLOSED_DATE = with_fact("SELECT max(date) AS latest_date FROM pr")
+LATEST_CLOSED_DATE = with_fact("SELECT max(date) AS latest_date FROM pr WHERE date < (SELECT max(date) FROM pr)")
 
 LATEST_PER_KEY = MAP_BEST_BY_DAY.replace(
     "SELECT date, map, role, operator, kill_ratio, round_ratio FROM (",
@@ -377,4 +396,5 @@ WHERE roles = 2""", MAP_OPERATOR)
 STATEMENTS.update({
     "operator_topk_single_row_zero": OPERATOR_TOPK_SINGLE_ROW_ZERO,
     "map_best_operators_both_roles": MAP_BEST_OPERATORS_BOTH_ROLES,
+    "map_best_operators_as_written": MAP_BEST_OPERATORS_AS_WRITTEN,
 })

@@ -67,6 +67,8 @@ BATCH_QUERIES: dict[str, QueryFn] = {
         lambda pr: daily.operator_topk(pr, single_row="zero")),
     "map_best_operators_both_roles": _on_fact(
         lambda pr: live.map_best_operators(pr, require_both_roles=True)),
+    "map_best_operators_as_written": _on_fact(
+        lambda pr: live.map_best_operators(pr, merge_roles=True)),
 }
 
 
@@ -109,9 +111,7 @@ def _scan_day(spark, sf_dir):
 
 
 def _latest_closed_date(spark, sf_dir):
-    # Every published daily table carries the same days; the division table
-    # stands for all of them.
-    return reports.latest_closed_date(daily.division_topk(_fact(spark, sf_dir)))
+    return reports.latest_closed_date(_fact(spark, sf_dir), newest_open=True)
 
 
 def _latest_per_key(spark, sf_dir):

@@ -122,10 +122,17 @@ def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     return df.where(F.col("batch_id") == F.lit(latest)).drop("batch_id")
 
 
-def latest_closed_date(*results: DataFrame) -> DataFrame:
-    """The most recent day present in the result tables (one row)."""
+def latest_closed_date(*results: DataFrame, newest_open: bool = False) -> DataFrame:
+    """The most recent closed day (one row, NULL if there is none).
+
+    Published tables hold closed days only.  Of the fact itself (``newest_open``)
+    the newest day is still open, so the one before it is named.
+    """
     dates = None
     for r in results:
         d = r.select("date")
         dates = d if dates is None else dates.unionByName(d)
+    if newest_open:
+        two = dates.where("date is not null").distinct().orderBy(F.desc("date")).limit(2)
+        return two.agg(F.when(F.count("date") == 2, F.min("date")).alias("latest_date"))
     return dates.agg(F.max("date").alias("latest_date"))

@@ -1,8 +1,11 @@
 """Hand-checked results of every report on the golden micro-fixture."""
 
+import pytest
 from conftest import rows
 
+from roundlens.functions import operator_name
 from roundlens.operators import daily, live
+from roundlens.plans import reports
 
 
 def test_division_topk(golden):
@@ -102,3 +105,30 @@ def test_map_best_operators(golden):
     assert rows(live.map_best_operators(golden), cols) == expected
     assert rows(live.map_best_operators(golden, require_both_roles=True), cols) == \
         [r for r in expected if r[0] != "HOUSE"]
+
+
+def test_two_role_operator_is_ranked_per_role(spark, golden):
+    # SAS-SLEDGE also defends on BANK: two lines per map by default, one as written.
+    extra = golden.where("operator = 'SAS-SLEDGE' and date = '20170211'").selectExpr(
+        *[f"'Defender' as {c}" if c == "role" else "9 as kills" if c == "kills" else c for c in golden.columns])
+    both = golden.unionByName(extra)
+    cols = ["map", "operator", "role", "kills", "rounds"]
+    sledge = "operator = 'SAS-SLEDGE'"
+    assert rows(live.map_operator_stats(both).where(sledge), cols) == [
+        ("BANK", "SAS-SLEDGE", "Attacker", 4, 3), ("BANK", "SAS-SLEDGE", "Defender", 9, 1)]
+    assert rows(live.map_operator_stats(both, merge_roles=True).where(sledge), cols) == [
+        ("BANK", "SAS-SLEDGE", "Attacker", 13, 4)]
+    best = live.map_best_operators(both).where("map = 'BANK' and role = 'Defender'")
+    assert rows(best, ["operator"]) == [("SAS-SLEDGE",)]
+
+
+def test_latest_closed_date_leaves_the_open_day_out(golden):
+    assert rows(reports.latest_closed_date(golden, newest_open=True)) == [("20170210",)]
+    assert rows(reports.latest_closed_date(golden.where("date = '20170210'"), newest_open=True)) == [(None,)]
+
+
+def test_strict_operator_name(spark):
+    df = spark.createDataFrame([("SAS-SLEDGE",), (None,)], "operator string")
+    assert [r[0] for r in df.select(operator_name(strict=True)).collect()] == ["SLEDGE", None]
+    with pytest.raises(Exception, match="without a dash"):
+        df.selectExpr("'SLEDGE' as operator").select(operator_name(strict=True)).collect()

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators import daily, live  # noqa: F401
-from .session import path_exists
+from .session import delete_path, path_exists, scratch_path
 from .operators.daily import daily_reports  # noqa: F401
 from .plans.reports import (
     read_result, read_snapshot, report_lines, report_lines_from, write_report_files,
@@ -54,10 +54,24 @@ def publish_daily(pr: DataFrame, out: str, date: str | None = None) -> None:
 
 def write_replay(pr: DataFrame, path: str, steps: int = 8, style: str = "python") -> int:
     """Write the rows as wire messages in ``steps`` day ranges, oldest first,
-    each range its own job (a file source then sees the ranges in order)."""
-    return replay_steps(pr, F.col("date").try_cast("int"), steps,
-                        lambda df, i: encode_wire(df, style).write.mode("append").text(path),
-                        filter_col=F.col("date"), to_value=lambda v: f"{int(v):08d}")
+    each range its own job (a file source then sees the ranges in order).
+
+    The rows are staged once, so the source is read once whatever ``steps``; within a
+    step the files, by name, and their lines are in (date, match_id) order.
+    """
+    stage = scratch_path(pr.sparkSession, "replay-stage")
+    pr.repartitionByRange("date", "match_id").write.parquet(stage)
+    staged = pr.sparkSession.read.schema(pr.schema).parquet(stage)
+
+    def write_step(df: DataFrame, i: int) -> None:
+        ordered = df.repartitionByRange("date", "match_id").sortWithinPartitions("date", "match_id")
+        encode_wire(ordered, style).write.mode("append").text(path)
+
+    try:
+        return replay_steps(staged, F.col("date").try_cast("int"), steps, write_step,
+                            filter_col=F.col("date"), to_value=lambda v: f"{int(v):08d}")
+    finally:
+        delete_path(pr.sparkSession, stage)
 
 
 def write_kafka(pr: DataFrame, bootstrap_servers: str, topic: str, style: str = "python") -> None:

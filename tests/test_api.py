@@ -1,5 +1,6 @@
 """Public API: daily publish, replay writer, CLI daily job."""
 
+import json
 import os
 
 from conftest import rows
@@ -32,6 +33,16 @@ def test_write_replay_then_decode(spark, golden):
     assert rows(back.drop("_error")) == rows(golden)
 
 
+def test_write_replay_orders_shuffled_rows(spark, golden):
+    path = scratch_path(spark, "replay-order")
+    api.write_replay(golden.orderBy("operator", "kills"), path, steps=1)
+    local = path.replace("file:", "", 1)
+    lines = [line for f in sorted(os.listdir(local)) if f.startswith("part-")
+             for line in open(os.path.join(local, f)).read().splitlines()]
+    keys = [tuple(json.loads(line)[0]) for line in lines]
+    assert len(keys) == golden.count() and keys == sorted(keys)
+
+
 def test_cli_daily_for_one_day(spark, golden):
     store = scratch_path(spark, "cli-store")
     out = scratch_path(spark, "cli-out")

@@ -11,45 +11,61 @@
 5. ``mix``: sources are mixed to their target weights; rows taken zero words go,
    the others carry size, source_size, target and taken.
 
-Stages 1 to 4 return the columns of their input, extra ones included.  An empty
+Rows that share a doc_id but not their text are judged each by itself (by a 64-bit
+hash of both).  Stages 1 to 4 return the columns of their input, extra ones included.  An empty
 table passes through as an empty table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roundlens.llm import lang_id, mixing, ngram_join, positional_index, secrets
 from roundlens.llm.spread import written
 
 MIN_SCORE = 0.3
+KEY = "__row_key"
+
+
+def row_key() -> Column:
+    """Names a row by doc_id and text; a doc_id may stand on several texts."""
+    return F.xxhash64("doc_id", "text")
+
+
+def _without(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    return docs.withColumn(KEY, row_key()).join(keys, KEY, "left_anti").select(*docs.columns)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = docs.filter(F.col("doc_id").isNotNull())
-    judged = lang_id.predict(docs.select("doc_id", "text"), lang_id.learn(docs.select("doc_id", "text", "lang")))
+    judged = lang_id.predict(docs.select("text", row_key().alias(KEY)),
+                             lang_id.learn(docs.select("doc_id", "text", "lang")), keep=(KEY,))
     refused = judged.filter(~F.col("has_letter") | (F.col("score") < MIN_SCORE) & (F.col("lang_pred") != lang_id.UND))
-    return docs.join(written(refused.select("doc_id").distinct(), "refused"), "doc_id", "left_anti").select(*docs.columns)
+    return _without(docs, written(refused.select(KEY).distinct(), "refused"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = written(ngram_join.jaccard_components(docs.select("doc_id", "text")), "groups")
-    gone = written(groups.filter("component_id <> doc_id").select("doc_id").distinct(), "gone")
-    twice = written(docs.groupBy("doc_id").count().filter("count > 1").select("doc_id"), "twice")
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    if twice.limit(1).count() == 0:  # the usual case: no row to compare with another
-        return kept
-    once = kept.join(twice, "doc_id", "left_anti").select(*docs.columns)
-    again = kept.join(twice, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id", "text"])
-    return once.union(again)
+    repeats = docs.groupBy("doc_id").count().filter("count > 1").limit(1).count()
+    if not repeats:  # the usual case: a doc_id names its row
+        groups = written(ngram_join.jaccard_components(docs.select("doc_id", "text")), "groups")
+        gone = written(groups.filter("component_id <> doc_id").select("doc_id").distinct(), "gone")
+        return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    groups = written(ngram_join.jaccard_components(docs.select(row_key().alias("doc_id"), "text")), "groups")
+    named = groups.select(F.col("doc_id").alias(KEY), "component_id").distinct().join(
+        docs.select(row_key().alias(KEY), "doc_id").distinct(), KEY)
+    least = named.groupBy("component_id").agg(F.min(F.struct("doc_id", KEY)).alias("least"))
+    stay = written(least.select(F.col(f"least.{KEY}").alias(KEY)), "stay")
+    twice = written(docs.groupBy(row_key().alias(KEY)).count().filter("count > 1").select(KEY), "twice")
+    kept = docs.withColumn(KEY, row_key()).join(stay, KEY, "left_semi").select(*docs.columns)
+    again = kept.withColumn(KEY, row_key()).join(twice, KEY, "left_semi").select(*docs.columns)
+    return _without(kept, twice).union(again.dropDuplicates(["doc_id", "text"]))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
-    found = positional_index.contamination(docs.select("doc_id", "text"), benchmark)
-    leaked = written(found.filter("contaminated").select("doc_id").distinct(), "leaked")
-    return docs.join(leaked, "doc_id", "left_anti").select(*docs.columns)
+    found = positional_index.contamination(docs.select(row_key().alias("doc_id"), "text"), benchmark)
+    return _without(docs, written(found.filter("contaminated").select(F.col("doc_id").alias(KEY)).distinct(), "leaked"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

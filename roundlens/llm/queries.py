@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (chaining, lang_id, mixing, ngram_join, positional_index, secrets, suffix_dedup, topk,
+from . import (chaining, lang_id, mixing, ngram_join, periodic_runs, positional_index, secrets, suffix_dedup, topk,
                warc_fixity, wrapper)
 
 
@@ -52,6 +52,10 @@ def op10_mix_sources(spark, sf_dir):
     return mixing.mix_sources(_table(spark, sf_dir, "documents"))
 
 
+def op13_periodic_runs(spark, sf_dir):
+    return periodic_runs.run_report(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -63,6 +67,7 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_fuzzy_passages": op9_fuzzy_passages,
     "op10_mix_sources": op10_mix_sources,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLES = {
@@ -71,4 +76,5 @@ ORACLES = {
     "op6_benchmark_decontamination": positional_index.SQL,
     "op7_exact_top_k": topk.SQL,
     "op10_mix_sources": mixing.SQL,
+    "op13_periodic_runs": periodic_runs.SQL,
 }

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (chaining, lang_id, mixing, ngram_join, periodic_runs, positional_index, secrets, suffix_dedup, topk,
-               warc_fixity, wrapper)
+from . import (chaining, lang_id, mixing, ngram_join, periodic_runs, piece_tokens, positional_index, secrets,
+               suffix_dedup, topk, warc_fixity, wrapper)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,6 +52,12 @@ def op10_mix_sources(spark, sf_dir):
     return mixing.mix_sources(_table(spark, sf_dir, "documents"))
 
 
+def op12_piece_tokens(spark, sf_dir):
+    import public_tokenizers  # the vocabulary files live outside the repository
+    return piece_tokens.token_report(_table(spark, sf_dir, "documents"),
+                                     public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op13_periodic_runs(spark, sf_dir):
     return periodic_runs.run_report(_table(spark, sf_dir, "documents"))
 
@@ -67,6 +73,7 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_fuzzy_passages": op9_fuzzy_passages,
     "op10_mix_sources": op10_mix_sources,
+    "op12_piece_tokens": op12_piece_tokens,
     "op13_periodic_runs": op13_periodic_runs,
 }
 

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (chaining, lang_id, mixing, ngram_join, periodic_runs, piece_tokens, positional_index, secrets,
-               suffix_dedup, topk, warc_fixity, wrapper)
+from . import (bitmap_manifest, chaining, lang_id, mixing, ngram_join, periodic_runs, piece_tokens,
+               positional_index, secrets, suffix_dedup, topk, warc_fixity, wrapper)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,6 +52,10 @@ def op10_mix_sources(spark, sf_dir):
     return mixing.mix_sources(_table(spark, sf_dir, "documents"))
 
 
+def op11_bitmap_manifest(spark, sf_dir):
+    return bitmap_manifest.manifest_report(_table(spark, sf_dir, "documents"))
+
+
 def op12_piece_tokens(spark, sf_dir):
     import public_tokenizers  # the vocabulary files live outside the repository
     return piece_tokens.token_report(_table(spark, sf_dir, "documents"),
@@ -73,6 +77,7 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_fuzzy_passages": op9_fuzzy_passages,
     "op10_mix_sources": op10_mix_sources,
+    "op11_bitmap_manifest": op11_bitmap_manifest,
     "op12_piece_tokens": op12_piece_tokens,
     "op13_periodic_runs": op13_periodic_runs,
 }
@@ -83,5 +88,6 @@ ORACLES = {
     "op6_benchmark_decontamination": positional_index.SQL,
     "op7_exact_top_k": topk.SQL,
     "op10_mix_sources": mixing.SQL,
+    "op11_bitmap_manifest": bitmap_manifest.SQL,
     "op13_periodic_runs": periodic_runs.SQL,
 }

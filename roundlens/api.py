@@ -3,7 +3,7 @@
 | Original entry                 | Here                                              |
 | ------------------------------ | ------------------------------------------------- |
 | daily batch job ``--date D``   | ``daily_reports(df, date)`` / ``publish_daily``    |
-| live streaming job             | ``start_live(messages, out, checkpoint, trigger)`` |
+| live streaming job             | ``start_live(messages, out, checkpoint, trigger)``, ``supervise`` |
 | replay producer                | ``read_raw_csv`` → ``to_wire`` → ``write_replay``   |
 | dashboard refresh payload      | ``read_results(spark, out)``                       |
 """
@@ -14,14 +14,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators import daily, live  # noqa: F401
-from .session import delete_path, path_exists, scratch_path
+from .session import delete_path, path_exists, scratch_path, versions
 from .operators.daily import daily_reports  # noqa: F401
 from .plans.reports import (
     read_result, read_snapshot, report_lines, report_lines_from, write_report_files,
     write_result,
 )
 from .sources.csv import raw_to_player_rounds, read_raw_csv, split_valid  # noqa: F401
-from .sources.replay import match_sequence, replay_steps  # noqa: F401
+from .sources.history import HistoryStore  # noqa: F401
+from .sources.replay import match_sequence, replay_steps, write_match_steps  # noqa: F401
 from .sources.store import (  # noqa: F401
     compact_days, read_store, reset_store, scan_day, write_store,
 )
@@ -29,6 +30,8 @@ from .sources.wire import decode_wire, encode_wire
 from .streaming.live import (  # noqa: F401
     file_messages, kafka_messages, start_daily_closer, start_day_close, start_live,
 )
+from .streaming.single import LiveOptions, read_batch_stats, read_daily, read_log, start_history  # noqa: F401
+from .streaming.supervise import ProgressLog, supervise  # noqa: F401
 
 to_wire = encode_wire
 from_wire = decode_wire
@@ -94,11 +97,16 @@ def start_kafka_sink(pr_stream: DataFrame, bootstrap_servers: str, topic: str, c
 
 def read_results(spark: SparkSession, out: str) -> dict[str, DataFrame]:
     """Every published result table under ``out``."""
-    tables = ["divisions", "operators", "platforms", "series", "report_lines", "map_best_log"]
-    snapshots = ["operator_ratios", "mode_role_wins", "mode_role_map_wins", "map_best"]
+    tables = ["divisions", "operators", "platforms", "series", "report_lines"]
+    snapshots = ["operator_ratios", "mode_role_wins", "mode_role_map_wins", "mode_role_peak", "map_best"]
     found = {}
     for n in tables + snapshots:
         p = f"{out.rstrip('/')}/{n}"
-        if path_exists(spark, p):
+        if n in tables and versions(spark, p):  # written by the live query
+            found[n] = read_daily(spark, out, n)
+        elif path_exists(spark, p):
             found[n] = read_snapshot(spark, p) if n in snapshots else read_result(spark, p)
+    log = read_log(spark, f"{out.rstrip('/')}/map_best_log")
+    if log is not None:
+        found["map_best_log"] = log.drop("seq")
     return found

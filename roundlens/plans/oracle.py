@@ -398,3 +398,25 @@ STATEMENTS.update({
     "map_best_operators_both_roles": MAP_BEST_OPERATORS_BOTH_ROLES,
     "map_best_operators_as_written": MAP_BEST_OPERATORS_AS_WRITTEN,
 })
+
+
+# --- the one live query, its store and match-by-match replay ---------------------------------
+
+REPLAY_ORDER = with_fact("""
+SELECT date, match_id, CAST((seq - 1) // ceil(n / 6.0)::BIGINT AS BIGINT) AS step FROM (
+  SELECT *, row_number() OVER (ORDER BY date, match_id) AS seq, count(*) OVER () AS n
+  FROM (SELECT DISTINCT date, match_id FROM pr))""")
+
+STREAM_SINGLE_REPORTS = f"""
+SELECT 'T1' AS report, operator_name AS key1, '' AS key2, '' AS name, kill_ratio::DOUBLE AS value1,
+  round_ratio::DOUBLE AS value2 FROM ({OPERATOR_NAME_RATIOS})
+UNION ALL SELECT 'T2', game_mode, role, best_map, total_wins::DOUBLE, wins_on_map::DOUBLE FROM ({MODE_ROLE_BEST_MAP})
+UNION ALL SELECT 'T2 peak', game_mode, role, peak_map, peak_wins::DOUBLE, 0::DOUBLE FROM ({MODE_ROLE_PEAK_MATCH})
+UNION ALL SELECT 'T3', map, role, operator, kill_ratio::DOUBLE, round_ratio::DOUBLE FROM ({MAP_BEST_OPERATORS})"""
+
+STATEMENTS.update({
+    "stream_single_reports": STREAM_SINGLE_REPORTS,
+    "stream_store_compact": FACT_PLAYER_ROUNDS,
+    "daily_report_late": DAILY_REPORT_ALL,
+    "replay_order": REPLAY_ORDER,
+})

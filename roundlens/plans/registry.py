@@ -17,18 +17,21 @@ from ..operators.ranking import latest_per_key
 from ..schema import PLAYER_ROUNDS_COLUMNS
 from ..session import scratch_path
 from ..sources import csv as csv_source
+from ..sources.history import HistoryStore
 from ..sources import replay as replay_source
 from ..sources import store as store_source
 from ..sources import wire
 from ..sources.tables import events_table, player_rounds_from_tables
 from ..streaming import live as live_stream
-from ..streaming.replay_run import replay_events_day_close, replay_fact
+from ..streaming import single
+from ..streaming.replay_run import replay_by_match, replay_events_day_close, replay_fact, replay_single
 from . import reports
 
 # The day used by the single-day store scan, and the number of
 # replay steps (micro-batches) the streaming queries are drained in.
 SCAN_DAY = "19980301"
 REPLAY_STEPS = 3
+ORDER_STEPS = 6
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -157,6 +160,70 @@ def _daily_report_all(spark, sf_dir):
         "date", "section", "item", "value")
 
 
+# --- the one live query, its store and late days -----------------------------------------
+
+def _sent(n: int):
+    """Part n of three: a few days are spread over all parts by match, the others come whole with the first."""
+    spread = F.pmod(F.crc32("date"), F.lit(25)) == 0
+    return F.when(spread, F.pmod(F.crc32("match_id"), F.lit(3))).otherwise(0) == n
+
+
+def _stream_single_reports(spark, sf_dir):
+    """T1, T2, T2's peak and T3 of the one live query, fed whole matches as the producer sends them."""
+    out = replay_by_match(spark, _fact(spark, sf_dir), REPLAY_STEPS, lambda msgs, out, ckpt: single.start_single(
+        msgs, out, ckpt, {"availableNow": True}, single.LiveOptions(store=False)))
+
+    def lines(table, *cols):
+        names = ("report", "key1", "key2", "name", "value1", "value2")
+        return reports.read_snapshot(spark, f"{out}/{table}").select(*[
+            (F.expr(c).cast("double") if n.startswith("value") else F.expr(c)).alias(n) for n, c in zip(names, cols)])
+    return (lines("operator_ratios", "'T1'", "operator_name", "''", "''", "kill_ratio", "round_ratio")
+            .unionByName(lines("mode_role_wins", "'T2'", "game_mode", "role", "best_map", "total_wins", "wins_on_map"))
+            .unionByName(lines("mode_role_peak", "'T2 peak'", "game_mode", "role", "peak_map", "peak_wins", "0"))
+            .unionByName(lines("map_best", "'T3'", "map", "role", "operator", "kill_ratio", "round_ratio")))
+
+
+def _stream_store_compact(spark, sf_dir):
+    """Stream, append in batch, fold, stream again, fold again: one store throughout."""
+    fact = _fact(spark, sf_dir)
+    root = scratch_path(spark, "shared-store")
+    store = HistoryStore(spark, f"{root}/store")
+
+    def stream(n):
+        wire.encode_wire(fact.where(_sent(n))).write.mode("append").text(f"{root}/messages")
+        q = single.start_history(live_stream.file_messages(spark, f"{root}/messages"), store.path, f"{root}/ckpt",
+                                 {"availableNow": True})
+        q.awaitTermination()
+
+    stream(0)
+    store.append(fact.where(_sent(1)))
+    store.fold()
+    stream(2)
+    store.fold()
+    store.vacuum(keep_seconds=0)
+    return store.read()
+
+
+def _daily_report_late(spark, sf_dir):
+    """Part of some days' matches comes after those days are closed and reported."""
+    fact = _fact(spark, sf_dir)
+    out = replay_single(spark, [fact.where(~_sent(1)), fact.where(_sent(1))])
+    return single.read_daily(spark, out, "report_lines").select("date", "section", "item", "value")
+
+
+def _replay_order(spark, sf_dir):
+    """Micro-batch number in which each match of a match-by-match replay reaches the stream."""
+    def start(msgs, out, ckpt):
+        def body(batch, batch_id):
+            (wire.decode_wire(batch).select("date", "match_id").distinct()
+             .withColumn("step", F.lit(batch_id).cast("long")).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("step").parquet(out))
+        return (msgs.writeStream.option("checkpointLocation", ckpt).trigger(availableNow=True)
+                .foreachBatch(body).start())
+    out = replay_by_match(spark, _fact(spark, sf_dir), ORDER_STEPS, start)
+    return spark.read.schema("date string, match_id string, step long").parquet(out)
+
+
 MORE_QUERIES: dict[str, QueryFn] = {
     "wire_encode": _wire_encode,
     "wire_decode": _wire_decode,
@@ -174,6 +241,10 @@ MORE_QUERIES: dict[str, QueryFn] = {
     "stream_store_roundtrip": _stream_store_roundtrip,
     "stream_day_close": _stream_day_close,
     "daily_report_all": _daily_report_all,
+    "stream_single_reports": _stream_single_reports,
+    "stream_store_compact": _stream_store_compact,
+    "daily_report_late": _daily_report_late,
+    "replay_order": _replay_order,
 }
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import SparkSession
@@ -120,3 +121,28 @@ def delete_path(spark: SparkSession, path: str) -> None:
         return
     p = sc._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def list_folders(spark: SparkSession, pattern: str) -> list[tuple[str, float]]:
+    """(path, modified at in seconds) of the folders that match a glob pattern, through their Hadoop FileSystem."""
+    sc = spark_context(spark)
+    if sc is None:
+        raise RuntimeError("listing folders needs a classic session (Spark Connect has no FileSystem)")
+    path = sc._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(sc._jsc.hadoopConfiguration()).globStatus(path) or []
+    return [(s.getPath().toString(), s.getModificationTime() / 1000.0) for s in found if s.isDirectory()]
+
+
+def versions(spark: SparkSession, table: str, key: str = "batch_id") -> list[tuple[int, str, float]]:
+    """(number, path, modified at) of the ``key=N`` folders of a table, ascending."""
+    return sorted((int(p.rstrip("/").rsplit("=", 1)[1]), p, at)
+                  for p, at in list_folders(spark, f"{table.rstrip('/')}/{key}=*"))
+
+
+def drop_versions(spark: SparkSession, table: str, keep: int = 2, keep_seconds: float = 600.0,
+                  key: str = "batch_id") -> None:
+    """Delete old versions: all but the newest ``keep`` that are older than any reader's ``keep_seconds``."""
+    now = time.time()
+    for _, path, at in versions(spark, table, key)[:-keep]:
+        if now - at >= keep_seconds:
+            delete_path(spark, path)

@@ -1,11 +1,13 @@
 """Replay order of matches and the stepwise replay of a fact table.
 
 ``match_sequence`` numbers the distinct (date, match) keys in (date, match)
-order without a single-partition window: the keys are range-partitioned
-(a hot day is split across partitions), each partition numbers its rows
-locally, the numbered keys are checkpointed once, and a table of
-per-partition counts (one row per partition, a proven bound) gives each
-partition its offset.
+order from counts per day and per start of the match id;
+``write_match_steps`` writes those matches as messages, step by step.
+
+``sequence_numbers`` numbers keys of any kind: they are range-partitioned, each
+partition numbers its rows locally, the numbered keys are checkpointed once, and
+a table of per-partition counts (one row per partition, a proven bound) gives
+each partition its offset.
 
 ``replay_steps`` cuts the days into ``steps`` contiguous ranges (cut points
 from one ``percentile_approx`` aggregation) and writes each range as its own
@@ -15,12 +17,17 @@ writes, so a streaming query sees the days arrive in order.
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import delete_path, ensure_checkpoint_dir, spark_context
+from .wire import encode_wire
+
+ID_START = 4  # characters of the match id that split a day
 
 
 def sequence_numbers(keys: DataFrame, order_cols: list[str], seq_col: str = "seq",
@@ -50,22 +57,78 @@ def sequence_numbers(keys: DataFrame, order_cols: list[str], seq_col: str = "seq
             .drop("_pid", "_pos", "_off"))
 
 
-def match_sequence(pr: DataFrame) -> DataFrame:
+def match_sequence(pr: DataFrame, id_start: int = ID_START) -> DataFrame:
     """Replay order of matches: global number, number within the day, and
-    whether the producer pauses before the match (a new match on the same day)."""
-    keys = pr.select("date", "match_id").distinct()
-    seq = sequence_numbers(keys, ["date", "match_id"])
-    # One row per calendar day (bounded by the calendar, not by the data), so
-    # it is broadcast: a day holding a third of all matches never meets a
-    # shuffle on ``date``.
-    first = seq.groupBy("date").agg(F.min("seq").alias("_first"))
-    out = seq.join(F.broadcast(first), "date") \
-        .withColumn("match_in_day", F.col("seq") - F.col("_first") + 1)
+    whether the producer pauses before the match (a new match on the same day).
+
+    A plan only: no job runs while it is built.  A day is split by the first
+    ``id_start`` characters of its match ids; matches are numbered within such a
+    range, and the ranges' counts are summed over the smaller ranges of the day
+    and the days before.  Only those sums see a whole day (one row a range) or
+    all days (one row a calendar day).
+    """
+    start = F.coalesce(F.substring("match_id", 1, id_start), F.lit(""))
+    keys = (pr.select("date", "match_id").where(F.col("date").isNotNull()).distinct()
+            .withColumn("_start", start).repartition("date", "_start"))
+
+    def smaller(*up: str, by: str) -> Column:
+        order = (Window.partitionBy(*up) if up else Window).orderBy(by)
+        return F.coalesce(F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    ranges = (keys.groupBy("date", "_start").agg(F.count(F.lit(1)).alias("_n"))
+              .withColumn("_in_day", smaller("date", by="_start")))
+    days = (ranges.groupBy("date").agg(F.sum("_n").alias("_n"))
+            .select("date", smaller(by="date").alias("_day")))
+    nth = F.row_number().over(Window.partitionBy("date", "_start").orderBy("match_id"))
+    out = (keys.withColumn("_nth", nth).join(ranges.join(days, "date"), ["date", "_start"])
+           .withColumn("match_in_day", F.col("_in_day") + F.col("_nth")))
     return out.select(
-        "date", "match_id", "seq", "match_in_day",
+        "date", "match_id", (F.col("_day") + F.col("match_in_day")).alias("seq"), "match_in_day",
         F.when(F.col("match_in_day") > 1, F.lit(1)).otherwise(F.lit(0)).alias("pause_before"))
 
 
+def write_match_steps(pr: DataFrame, path: str, matches_per_step: int = 1,
+                      style: str = "python", pause_seconds: float = 0.0) -> int:
+    """Write the rows as messages, ``matches_per_step`` matches a file, files in replay order.
+
+    All files are written by one job, one per step, into a staging folder beside
+    ``path``; then they are handed over in order, each with a later modification
+    time, which is the order a file source reads them in (``maxFilesPerTrigger=1``
+    gives one step a micro-batch).  ``pause_seconds`` waits between steps.  Rows
+    without a day, which have no match number, go with the first step.
+    """
+    spark = pr.sparkSession
+    stage = f"{path.rstrip('/')}-stage-{uuid.uuid4().hex[:12]}"
+    numbered = pr.join(match_sequence(pr).select("date", "match_id", "seq"), ["date", "match_id"], "left")
+    step = F.coalesce(F.expr(f"(seq - 1) div {int(matches_per_step)}"), F.lit(0))
+    rows = numbered.select(step.alias("step"), "date", "match_id", F.struct(*pr.columns).alias("_row"))
+    ordered = rows.repartition("step").sortWithinPartitions("step", "date", "match_id")
+    messages = encode_wire(ordered.select("step", "_row.*"), style, keep=("step",))
+    messages.select("step", "value").write.partitionBy("step").text(stage)
+    try:
+        return _hand_over(spark, stage, path, pause_seconds)
+    finally:
+        delete_path(spark, stage)
+
+
+def _hand_over(spark, stage: str, path: str, pause_seconds: float) -> int:
+    """Move staged step files into the source folder in order of their step."""
+    hadoop = spark_context(spark)._jvm.org.apache.hadoop.fs
+    target = hadoop.Path(path)
+    fs = target.getFileSystem(spark_context(spark)._jsc.hadoopConfiguration())
+    fs.mkdirs(target)
+    stamp = max([int(time.time() * 1000), *(s.getModificationTime() + 1 for s in fs.listStatus(target))])
+    files = sorted((int(s.getPath().getParent().getName().split("=")[1]), s.getPath().getName(), s.getPath())
+                   for s in fs.globStatus(hadoop.Path(f"{stage}/step=*/part-*")))
+    for k, (step, name, source) in enumerate(files):
+        if k and pause_seconds:
+            time.sleep(pause_seconds)
+        fs.setTimes(source, stamp + k, -1)
+        if not fs.rename(source, hadoop.Path(f"{path.rstrip('/')}/step-{step:012d}-{name}")):
+            raise OSError(f"could not hand over {source}")
+    return len(files)
+
+
 def step_bounds(df: DataFrame, order: Column, steps: int) -> list:
     """``steps - 1`` increasing cut points of ``order`` (one aggregation)."""
     if steps <= 1:

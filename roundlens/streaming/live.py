@@ -1,7 +1,8 @@
-"""Structured Streaming: live reports, history store sink, day closing.
+"""Structured Streaming: sources, live reports as separate queries, day closing.
 
-The message stream is decoded by ``from_json`` in each query (``decode_wire``);
-each report is its own streaming query with its own checkpoint:
+``start_live`` runs every output in one query (module ``single``).  The starters
+here run one output each, as a query of its own with its own checkpoint, for
+those who want few of them; each decodes the stream for itself (``decode_wire``):
 
 * store: append-only Parquet file sink partitioned by ``date`` (exactly-once
   through the sink's commit log); undecodable messages go to a quarantine sink.
@@ -214,19 +215,13 @@ def start_map_best(pr: DataFrame, out: str, checkpoint: str, trigger: dict | Non
 
 
 def start_live(messages: DataFrame, out: str, checkpoint: str, trigger: dict | None = None,
-               decode: str = "json", console: bool = False,
-               state_partitions: int | None = None) -> list[StreamingQuery]:
-    """All live outputs over one message stream: store, quarantine, T1, T2, T3
-    (``console`` prints T3's changed totals of each batch)."""
-    good, bad = decoded(messages, decode)
-    return [
-        start_store(good, f"{out}/store", checkpoint, trigger),
-        start_quarantine(bad, f"{out}/quarantine", checkpoint, trigger),
-        start_operator_ratios(good, out, checkpoint, trigger, state_partitions),
-        start_mode_role_wins(good, out, checkpoint, trigger, state_partitions),
-        start_map_best(good, out, checkpoint, trigger, console=console,
-                       state_partitions=state_partitions),
-    ]
+               decode: str = "json", console: bool = False, **options) -> list[StreamingQuery]:
+    """All live outputs over one message stream, as one query that reads the stream once:
+    history store, quarantine, T1, T2, T3, daily reports of closed days (see ``single``;
+    ``options`` are those of ``LiveOptions``; ``console`` prints T3's changed totals of each batch)."""
+    from .single import LiveOptions, start_single
+    return [start_single(messages, out, checkpoint, trigger,
+                         LiveOptions(decode=decode, console=console, **options))]
 
 
 def latest_map_best(spark: SparkSession, out: str) -> DataFrame:

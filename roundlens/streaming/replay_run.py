@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..session import scratch_path
-from ..sources.replay import replay_steps
+from ..sources.replay import match_sequence, replay_steps, write_match_steps
 from ..sources.wire import encode_wire
-from . import live
+from . import live, single
 
 AVAILABLE_NOW = {"availableNow": True}
 
@@ -81,3 +81,29 @@ def replay_events_day_close(spark: SparkSession, events: DataFrame, steps: int,
 
     replay_steps(events, F.col("ts"), steps, write_step, after_step)
     return out
+
+
+def replay_single(spark: SparkSession, parts: Sequence[DataFrame], options: single.LiveOptions | None = None,
+                  after_part: Callable[[int, str], None] | None = None) -> str:
+    """Send ``parts`` one after the other through the one live query, restarted from its
+    checkpoint for each; ``after_part(number, out)`` runs between.  Returns the output folder."""
+    root = scratch_path(spark, "single")
+    src, out = f"{root}/messages", f"{root}/out"
+    for i, part in enumerate(parts):
+        encode_wire(part).write.mode("append").text(src)
+        _drain([single.start_single(live.file_messages(spark, src), out, f"{root}/ckpt", AVAILABLE_NOW, options)])
+        if after_part is not None:
+            after_part(i, out)
+    return out
+
+
+def replay_by_match(spark: SparkSession, fact: DataFrame, steps: int,
+                    start: Callable[[DataFrame, str, str], StreamingQuery]) -> str:
+    """Replay ``fact`` in ``steps`` steps of equally many whole matches, one step a micro-batch,
+    through ``start(messages, out, checkpoint)``.  Returns the output folder."""
+    root = scratch_path(spark, "by-match")
+    src, out = f"{root}/messages", f"{root}/out"
+    matches = match_sequence(fact).count()
+    write_match_steps(fact, src, max(1, -(-matches // steps)))
+    _drain([start(live.file_messages(spark, src, max_files_per_trigger=1), out, f"{root}/ckpt")])
+    return out

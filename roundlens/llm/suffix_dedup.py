@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .induced_sort import suffixes
-from .spread import written
+from .spread import release, written
 from .text import Chunk, chunks, mix, prefix_hash, span_hash
 
 GRAM = 32
@@ -355,10 +355,14 @@ def remove_repeats(docs: DataFrame, length: int = 100, with_text: bool = False)
     buckets = max(32, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     packed = written(_combined(plain, _common_anchors(plain, length), length, buckets), "dedup-stretches")
     resolved = written(_resolved(packed), "dedup-resolved")
+    # The entries are bulky and spent now; the few spans beside them are kept.
+    here = written(packed.filter("entries is null").select("doc", "tag", "s", "e"), "dedup-here")
+    release(packed)
     texts = _texts_of(plain, resolved.filter("anchor is not null"))
     sorted_out = written(_sorted_shards(texts, length), "dedup-sorted")
-    spans = (packed.filter("entries is null").select("doc", "tag", "s", "e")
-             .union(resolved.filter("anchor is null").select("doc", "tag", "s", "e")).union(sorted_out))
+    settled = written(resolved.filter("anchor is null").select("doc", "tag", "s", "e"), "dedup-settled")
+    release(resolved)
+    spans = here.union(settled).union(sorted_out)
     lists = spans.groupBy("doc").agg(F.collect_list(F.struct("tag", "s", "e")).alias("cut"))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -7,7 +7,8 @@
    share are ordered last and rarely become keys; the order affects speed only.
 3. Each class is first paired with the leader it meets in most tiles.  Links found
    so collapse groups of copies to components; only tiles that still hold
-   several components are compared in full, split by size band.
+   several components are compared in full, split by size band.  Large ones are
+   compared inside their tasks, which hold the sets and give spanning links.
 4. A candidate pair must pass a bound from bitmap signatures (one bit per
    hashed shingle): a bit of x that y lacks proves a shingle of x outside y, so
    ``|x & y| <= min(|x| - bits(x & ~y), |y| - bits(y & ~x))``.  Survivors are
@@ -25,7 +26,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
@@ -40,6 +41,7 @@ SALT_ROWS = 200_000     # a key expected in more documents than this is dealt ov
 STAR_ROUNDS = 2
 SMALL_TILE = 16
 TILE_ROWS = 2048        # members of one all-against-all tile
+CELL_ITEMS = 1 << 20    # shingles of the sets that one cell of a tile's grid compares, about
 SIG_BITS_PER_ITEM = 2
 
 _U64 = np.uint64
@@ -287,6 +289,14 @@ def _sets(docs: DataFrame, first: DataFrame, k: int) -> DataFrame:
             .groupBy("cls").agg(F.first("items").alias("items")))
 
 
+def _shared(u: np.ndarray, v: np.ndarray) -> int:
+    """Size of the intersection of two sorted sets."""
+    if len(u) > len(v):
+        u, v = v, u
+    at = np.minimum(np.searchsorted(v, u), len(v) - 1)
+    return int((v[at] == u).sum())
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
     """Pairs whose sets really meet the threshold: merge of the sorted arrays."""
 
@@ -295,11 +305,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
         out = []
         for p, q in zip(x, y):
             u, v = np.frombuffer(p.as_py(), _U64), np.frombuffer(q.as_py(), _U64)
-            if len(u) > len(v):
-                u, v = v, u
-            at = np.minimum(np.searchsorted(v, u), len(v) - 1)
-            inter = int((v[at] == u).sum())
-            out.append(100 * inter >= pct * (len(u) + len(v) - inter))
+            out.append(bool(_linked(_shared(u, v), len(u), len(v), pct)))
         return pa.array(out, pa.bool_())
 
     return (pairs.select("a", "b").join(sets.select(F.col("cls").alias("b"), F.col("items").alias("y")), "b")
@@ -351,6 +357,16 @@ def _check(docs: DataFrame, classes: DataFrame, pairs: DataFrame, known: list[Da
         pairs = _pairs_within_bound(pairs, classes, pct)
     pairs = written(pairs.select("a", "b"), "ngram-pairs")
     names = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
+    sets = _sets_of(docs, classes, names, known, k)
+    if sets is None:  # no pair at all
+        return pairs
+    found = written(_verified(pairs, sets, pct), "ngram-found")
+    release(pairs)
+    return found
+
+
+def _sets_of(docs: DataFrame, classes: DataFrame, names: DataFrame, known: list[DataFrame], k: int) -> DataFrame | None:
+    """(cls, items) of the named classes; sets met for the first time are read and added to ``known``."""
     unread = names
     for sets in known:
         unread = unread.join(sets.select("cls"), "cls", "left_anti")
@@ -358,14 +374,12 @@ def _check(docs: DataFrame, classes: DataFrame, pairs: DataFrame, known: list[Da
     if not first.isEmpty():
         known.append(written(_sets(docs, first, k), "ngram-sets"))
     release(first)
-    if not known:  # no pair at all
-        return pairs
+    if not known:
+        return None
     sets = reduce(DataFrame.unionAll, known)
-    if len(known) > 1:  # sets of an earlier turn that no pair names stay out of the shuffles
+    if len(known) > 1:  # sets of an earlier turn that are not named stay out of the shuffles
         sets = sets.join(names, "cls", "left_semi")
-    found = written(_verified(pairs, sets, pct), "ngram-found")
-    release(pairs)
-    return found
+    return sets
 
 
 def _tile_rows(residual: DataFrame, pct: int, large: bool) -> DataFrame:
@@ -373,11 +387,12 @@ def _tile_rows(residual: DataFrame, pct: int, large: bool) -> DataFrame:
     rows = _banded(residual, pct)
     size = rows.groupBy("key", "band").agg(
         F.count("*").alias("m"), F.min("comp").alias("c0"), F.max("comp").alias("c1"),
-        F.bit_xor(F.xxhash64("cls")).alias("who"), F.max("own").alias("any_own")).filter("c0 <> c1 and any_own")
+        F.bit_xor(F.xxhash64("cls")).alias("who"), F.max("own").alias("any_own"),
+        F.sum("n").alias("items")).filter("c0 <> c1 and any_own")
     # Keys of one shared passage often hold the same classes: one such tile is enough.
     size = (size.filter((F.col("m") > SMALL_TILE) if large else (F.col("m") <= SMALL_TILE))
-            .groupBy("band", "m", "who").agg(F.min("key").alias("key")))
-    return rows.join(size.select("key", "band", "m"), ["key", "band"])
+            .groupBy("band", "m", "items", "who").agg(F.min("key").alias("key")))
+    return rows.join(size.select("key", "band", "m", "items"), ["key", "band"])
 
 
 def _small_tiles(residual: DataFrame, pct: int) -> DataFrame:
@@ -390,35 +405,31 @@ def _small_tiles(residual: DataFrame, pct: int) -> DataFrame:
             .select(F.col("cls").alias("a"), F.col("cls2").alias("b")).distinct())
 
 
-def _large_tiles(residual: DataFrame, sigs: DataFrame, pct: int, best: bool) -> DataFrame:
-    """Pairs of different components inside larger tiles that pass the bitmap bound.
-
-    ``residual`` is (key, cls, n, comp).  With ``best`` only the partner with the
-    highest bound comes out for each class.  A tile above ``TILE_ROWS`` is cut
-    into cells of a triangular grid, which bounds a task.
-    """
-    rows = _tile_rows(residual, pct, True)
-    rows = (rows.withColumn("grid", F.ceil(F.col("m") / TILE_ROWS).cast("int"))
+def _cells(rows: DataFrame, grid: Column) -> DataFrame:
+    """Tile rows dealt to the cells (i, j) of a triangular ``grid``: each two rows of a tile meet in one cell."""
+    return (rows.withColumn("grid", grid.cast("int"))
             .withColumn("cell", F.pmod(F.xxhash64("cls"), F.col("grid")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("grid") - 1)))
             .select("key", "band", F.least("cell", "other").alias("i"), F.greatest("cell", "other").alias("j"),
-                    "cell", "own", "cls", "n", "comp")
-            .join(sigs.select("cls", "sig"), "cls"))
+                    "cell", "own", "cls", "n", "comp"))
+
+
+def _best_in_tiles(residual: DataFrame, sigs: DataFrame, pct: int) -> DataFrame:
+    """For each class of a larger tile the partner of another component with the highest bitmap bound.
+
+    ``residual`` is (key, cls, n, comp).  A tile above ``TILE_ROWS`` is cut into
+    cells of a triangular grid, which bounds a task.
+    """
+    rows = _cells(_tile_rows(residual, pct, True), F.ceil(F.col("m") / TILE_ROWS)).join(sigs.select("cls", "sig"), "cls")
 
     def compare(table: pa.Table) -> pa.Table:
         i, j = table["i"][0].as_py(), table["j"][0].as_py()
         cls, n, comp = (table[c].to_numpy() for c in ("cls", "n", "comp"))
         own, cell = table["own"].to_numpy(), table["cell"].to_numpy()
-        raw = [np.frombuffer(s.as_py(), np.uint8) for s in table["sig"]]
-        width = min(map(len, raw))
-        sig = np.stack([fold(r, width) for r in raw])
-        if width % 8 == 0:
-            sig = sig.view(_U64)
+        sig = _one_width([np.frombuffer(s.as_py(), np.uint8) for s in table["sig"]])
         a, b = [], []
         for x in range(len(cls)):
             y = (comp != comp[x]) & (own | own[x])
-            if not best:
-                y &= cls > cls[x]
             if i != j:
                 y &= cell != cell[x]
             y &= (100 * n >= pct * n[x]) & (100 * n[x] >= pct * n)
@@ -427,17 +438,66 @@ def _large_tiles(residual: DataFrame, sigs: DataFrame, pct: int, best: bool) ->
                 bound = overlap_bound(sig[x], n[x], sig[y], n[y])
                 ok = _linked(bound, n[x], n[y], pct)
                 y, bound = y[ok], bound[ok]
-                if best and len(y):
-                    y = y[[np.argmax(bound / (n[x] + n[y] - bound))]]
-                a.append(np.full(len(y), cls[x]))
-                b.append(cls[y])
-        z = np.zeros(0, np.int64)
-        return pa.table({"a": np.concatenate([*a, z]), "b": np.concatenate([*b, z])})
+                if len(y):
+                    a.append(cls[x])
+                    b.append(cls[y[np.argmax(bound / (n[x] + n[y] - bound))]])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     pairs = rows.groupBy("key", "band", "i", "j").applyInArrow(compare, "a long, b long")
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _one_width(raw: list[np.ndarray]) -> np.ndarray:
+    """Packed signatures folded to the narrowest width, in 64-bit words where that fits."""
+    width = min(map(len, raw))
+    sig = np.stack([fold(r, width) for r in raw])
+    return sig.view(_U64) if width % 8 == 0 else sig
+
+
+def _links_in_tiles(docs: DataFrame, residual: DataFrame, classes: DataFrame, known: list[DataFrame], k: int,
+                    pct: int) -> DataFrame:
+    """Links that join the components still apart in larger tiles.
+
+    The sorted sets travel to the cells, which check every pair of different
+    components whose bitmaps allow a link, and note a found link by joining the
+    two components at once.  A cell gives a spanning forest: fewer links than rows.
+    """
+    rows = written(_tile_rows(residual, pct, True), "ngram-large")
+    sets = _sets_of(docs, classes, rows.select("cls").distinct(), known, k)
+    if sets is None:  # no such tile
+        return rows.select(F.col("cls").alias("a"), F.col("cls").alias("b"))
+    grid = F.greatest(F.ceil(F.col("m") / TILE_ROWS), F.ceil(F.col("items") / CELL_ITEMS))
+
+    def link(table: pa.Table) -> pa.Table:
+        i, j = table["i"][0].as_py(), table["j"][0].as_py()
+        cls, n = table["cls"].to_numpy(), table["n"].to_numpy()
+        own, cell = table["own"].to_numpy(), table["cell"].to_numpy()
+        comp = np.unique(table["comp"].to_numpy(), return_inverse=True)[1]
+        items = [np.frombuffer(x.as_py(), _U64) for x in table["items"]]
+        sig = _one_width([np.frombuffer(_signature(x, _sig_bits(len(x))), np.uint8) for x in items])
+        a, b = [], []
+        for x in range(len(cls)):
+            y = (comp != comp[x]) & (own | own[x])
+            y[:x] = False
+            if i != j:
+                y &= cell != cell[x]
+            y = np.flatnonzero(y & (100 * n >= pct * n[x]) & (100 * n[x] >= pct * n))
+            if not len(y):
+                continue
+            bound = overlap_bound(sig[x], n[x], sig[y], n[y])
+            for z in y[_linked(bound, n[x], n[y], pct)].tolist():
+                if comp[z] != comp[x] and _linked(_shared(items[x], items[z]), n[x], n[z], pct):
+                    comp[comp == comp[z]] = comp[x]
+                    a.append(cls[x])
+                    b.append(cls[z])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    cells = _cells(rows, grid).join(sets, "cls").groupBy("key", "band", "i", "j").applyInArrow(link, "a long, b long")
+    found = written(cells.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "ngram-found")
+    release(rows)
+    return found
+
+
 def jaccard_components(docs: DataFrame, k: int = 5, pct: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs`` (doc_id, text).
 
@@ -474,13 +534,13 @@ def jaccard_components(docs: DataFrame, k: int = 5, pct: int = 80) -> DataFrame:
     # again while that finds links, so that few pairs are left for the full comparison.
     merge(_check(docs, classes, _small_tiles(member, pct), known, k, pct))
     while True:
-        found = _check(docs, classes, _large_tiles(member, classes, pct, True), known, k, pct, True)
+        found = _check(docs, classes, _best_in_tiles(member, classes, pct), known, k, pct, True)
         new = found.count()
         if new:
             merge(found)
         if 20 * new <= sum(part.count() for part in links):  # the full comparison below finds the rest
             break
-    links.append(_check(docs, classes, _large_tiles(member, classes, pct, False), known, k, pct, True))
+    links.append(_links_in_tiles(docs, member, classes, known, k, pct))
     release(comp)
     comp = components(reduce(DataFrame.unionAll, links), "ngram-comp")
     release(member, classes, *known, *links)

@@ -46,6 +46,27 @@ def test_jaccard_common_shingles_and_grid(docs, monkeypatch):
     assert rows_of(ngram_join.jaccard_components(docs)) == plain
 
 
+def test_large_tiles_give_spanning_links(spark, monkeypatch):
+    """A chain of near copies and a group of them in one tile: links join all, fewer than rows."""
+    base = [f"t{k}" for k in range(120)]
+    rows = [(i, " ".join(base[:i] + [f"x{i}"] + base[i + 1:])) for i in range(40)]
+    rows += [(100 + i, " ".join(base[2 * i:2 * i + 60] + [f"y{i}"])) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    plain = rows_of(ngram_join.jaccard_components(docs))
+    assert len({c for i, _, c in plain if i < 100}) == 1
+    monkeypatch.setattr(ngram_join, "STAR_ROUNDS", 0)
+    monkeypatch.setattr(ngram_join, "SMALL_TILE", 1)
+    monkeypatch.setattr(ngram_join, "_best_in_tiles", lambda member, classes, pct: spark.createDataFrame(
+        [], "a long, b long"))
+    found = []
+    links = ngram_join._links_in_tiles
+    monkeypatch.setattr(ngram_join, "_links_in_tiles", lambda *a: found.append(links(*a)) or found[-1])
+    monkeypatch.setattr(ngram_join, "release", lambda *tables: None)
+    monkeypatch.setattr(ngram_join, "CELL_ITEMS", 1500)
+    assert rows_of(ngram_join.jaccard_components(docs)) == plain
+    assert 39 <= found[0].count() < 39 * 40 / 4
+
+
 def test_overlap_bound_never_below_overlap():
     rng = np.random.default_rng(3)
     for _ in range(200):

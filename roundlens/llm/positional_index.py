@@ -29,10 +29,11 @@ from pyspark.sql import functions as F
 from .spread import written
 from .text import ALNUM_WORD, chunks, word_hashes
 
-SEGMENT_BYTES = 8 << 20
+SEGMENT_BYTES = 2 << 20  # of text; one text may exceed it
 GAP = 64                 # free positions between documents; phrase length + slop stay below it
 BLOCK_WORDS = 500_000    # words of test items searched (and broadcast) at a time
-CANDIDATES = 1 << 21     # candidate positions intersected at a time
+CANDIDATES = 1 << 19     # candidate positions intersected at a time
+TERM_BLOCK = 1 << 14     # terms whose postings are encoded at a time
 
 INDEX_SCHEMA = ("segment long, doc_ids array<long>, doc_words array<int>, "
                 "terms binary, counts binary, starts binary, postings binary")
@@ -70,17 +71,33 @@ def build_index(docs: DataFrame) -> DataFrame:
     def segment(number: int, ids: list, counts: list, terms: list) -> pa.RecordBatch:
         n_words = np.concatenate(counts).astype(np.int64)
         term = np.concatenate(terms)
+        terms.clear()
+        places = len(term) + GAP * len(n_words)
+        kind = np.int32 if places < 1 << 31 else np.int64
         base = np.concatenate([[0], np.cumsum(n_words + GAP)[:-1]])
-        pos = np.arange(len(term)) + np.repeat(base - np.concatenate([[0], np.cumsum(n_words)[:-1]]), n_words)
-        order = np.argsort(term, kind="stable")
+        shift = base - np.concatenate([[0], np.cumsum(n_words)[:-1]])
+        pos = np.arange(len(term), dtype=kind)
+        pos += np.repeat(shift.astype(kind), n_words)
+        order = np.argsort(term, kind="stable").astype(kind)
         term, pos = term[order], pos[order]
+        del order
         edge = np.flatnonzero(np.concatenate([[True], term[1:] != term[:-1]])) if len(term) else np.zeros(0, int)
-        delta = np.diff(pos, prepend=0)
+        names, size = term[edge].tobytes(), np.diff(edge, append=len(term)).astype(np.uint32)
+        del term
+        delta = np.diff(pos, prepend=kind(0))
         delta[edge] = pos[edge]
-        packed, at = encode_varints(delta)
-        one = [pa.array([x.tobytes()], pa.binary()) for x in (
-            term[edge], np.diff(edge, append=len(term)).astype(np.uint32),
-            np.append(at[edge], at[-1]).astype(np.uint32), packed)]
+        del pos
+        starts, packed, used = [], [], 0
+        for lo in range(0, len(edge), TERM_BLOCK):  # a block of terms at a time: varints need wide work arrays
+            here = edge[lo:lo + TERM_BLOCK]
+            end = int(edge[lo + TERM_BLOCK]) if lo + TERM_BLOCK < len(edge) else len(delta)
+            part, at = encode_varints(delta[here[0]:end])
+            starts.append(at[here - here[0]] + used)
+            packed.append(part.tobytes())
+            used += int(at[-1])
+        one = [pa.array([x], pa.binary()) for x in (
+            names, size.tobytes(), np.append(np.concatenate([*starts, np.zeros(0, np.int64)]), used).astype(np.uint32).tobytes(),
+            b"".join(packed))]
         return pa.RecordBatch.from_arrays(
             [pa.array([number], pa.int64()), pa.array([[i for x in ids for i in x.to_pylist()]], pa.list_(pa.int64())),
              pa.array([n_words.astype(np.int32)], pa.list_(pa.int32())), *one],
@@ -89,7 +106,7 @@ def build_index(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         ids, counts, terms, size = [], [], [], 0
-        for c in chunks(batches):
+        for c in chunks(batches, max_bytes=SEGMENT_BYTES // 2):
             if size and size + len(c.data) > SEGMENT_BYTES:
                 yield segment(number, ids, counts, terms)
                 number += 1

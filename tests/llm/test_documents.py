@@ -152,6 +152,7 @@ def test_index_blocks_and_proximity(spark, docs, monkeypatch):
     monkeypatch.setattr(positional_index, "SEGMENT_BYTES", 200)
     monkeypatch.setattr(positional_index, "BLOCK_WORDS", 1)
     monkeypatch.setattr(positional_index, "CANDIDATES", 1)
+    monkeypatch.setattr(positional_index, "TERM_BLOCK", 3)
     index = positional_index.build_index(docs)
     items = spark.createDataFrame([("a", "w120a w122c w121b"), ("b", "w100e w101f")], "item string, text string")
     exact = {r["item"] for r in positional_index.search(index, items, 3).collect()}

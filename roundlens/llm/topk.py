@@ -13,9 +13,12 @@ Queries are dealt into blocks of bounded size, sent to all tasks one block at a
 time; every task scans its rows, keeps k rows per query, and a last step ranks
 the k rows of all tasks.
 
-Defined cases: a vector that is null, or has a null or non-finite component,
-takes no part; vectors of different length are not compared; equal scores go to
-the smaller id; fewer than k candidates give fewer rows; an empty table is fine.
+Defined cases: a vector that is null, has no component, or has a null or non-finite
+component takes no part; nor does one with a component of 2^31 / sqrt(length) or more
+after quantisation, whose score could leave 64 bits.  Vectors of different length are
+not compared.  A query's own row is no candidate, but other rows that share its id
+are; each row is a query by itself.  Rows without an id take no part.  Equal scores
+go to the smaller id; fewer than k candidates give fewer rows; an empty table is fine.
 """
 
 from __future__ import annotations
@@ -47,7 +50,8 @@ def vectors(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         pick = np.flatnonzero(length == d)
         flat = col.take(pa.array(pick)).flatten()
         x = flat.cast(pa.float64()).to_numpy(zero_copy_only=False).reshape(-1, d)  # a null becomes NaN
-        good = np.isfinite(x).all(axis=1)
+        with np.errstate(invalid="ignore", over="ignore"):
+            good = (np.abs(256.0 * x) < 2.0 ** 31 / np.sqrt(d)).all(axis=1)  # false for NaN and infinity
         yield ids[pick[good]].astype(np.int64), np.floor(256.0 * x[good]).astype(np.int64)
 
 
@@ -106,15 +110,14 @@ class Best:
         self.full[hit] = np.take_along_axis(f, o, 1)
 
 
-def scan(best: Best, q_ids: np.ndarray, q: np.ndarray, q_stats: list[np.ndarray],
-         ids: np.ndarray, x: np.ndarray) -> None:
+def scan(best: Best, q: np.ndarray, q_stats: list[np.ndarray], ids: np.ndarray, x: np.ndarray) -> None:
     """Offer candidate rows to all queries: bounds coarse to fine, then exact products."""
     levels = resolutions(x.shape[1])
     x_stats = [statistics(x, s) for s in levels]
     for lo in range(0, len(q), QUERY_ROWS):
         hi = min(lo + QUERY_ROWS, len(q))
         floor = best.floor()[lo:hi]
-        alive = q_ids[lo:hi, None] != ids
+        alive = np.ones((hi - lo, len(ids)), bool)
         a = b = None
         for qs, xs in zip(q_stats, x_stats):
             if a is None:  # many pairs left: all bounds of this resolution in one product
@@ -162,27 +165,34 @@ def top_k(rows: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
                 for ids, x in vectors(batch):
                     if x.shape[1] not in shared.value:
                         continue
-                    q_ids, q = shared.value[x.shape[1]]
+                    q = shared.value[x.shape[1]][1]
                     if x.shape[1] not in state:
-                        state[x.shape[1]] = (Best(len(q), k), [statistics(q, s) for s in resolutions(x.shape[1])])
+                        # One more than k: a query meets its own row too, which goes at the end.
+                        state[x.shape[1]] = (Best(len(q), k + 1), [statistics(q, s) for s in resolutions(x.shape[1])])
                     best, q_stats = state[x.shape[1]]
                     lo, step = 0, FIRST_ROWS  # small steps first, so that the k-th score soon prunes
                     while lo < len(ids):
-                        scan(best, q_ids, q, q_stats, ids[lo:lo + step], x[lo:lo + step])
+                        scan(best, q, q_stats, ids[lo:lo + step], x[lo:lo + step])
                         lo, step = lo + step, min(2 * step, ROWS)
             for d, (best, _) in state.items():
                 n, j = np.nonzero(best.full)
-                yield pa.record_batch({"query_no": pa.array(n), "query_id": pa.array(shared.value[d][0][n]),
+                q_ids, q = shared.value[d]
+                own = (best.id[n, j] == q_ids[n]) & (best.score[n, j] == (q * q).sum(axis=1)[n])
+                yield pa.record_batch({"query_no": pa.array(n), "query_id": pa.array(q_ids[n]),
                                        "vec_id": pa.array(best.id[n, j]), "score": pa.array(best.score[n, j]),
-                                       "d": pa.array(np.full(len(n), d))})
+                                       "own": pa.array(own), "d": pa.array(np.full(len(n), d))})
 
-        got = table.mapInArrow(run, "query_no long, query_id long, vec_id long, score long, d long")
+        got = table.mapInArrow(run, "query_no long, query_id long, vec_id long, score long, own boolean, d long")
         got = got.withColumn("block", F.lit(b))
         out = got if out is None else out.union(got)
     # query_no tells repeated rows of one query id apart.
     w = Window.partitionBy("block", "d", "query_no").orderBy(F.desc("score"), "vec_id")
-    return (out.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+    near = out.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k + 1)
+    # Of the rows with the query's id and its product with itself (all alike) one is its own.
+    owns = F.sum(F.col("own").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    rank = (F.col("rank") - F.least(F.col("owns"), F.lit(1))).cast("int")
+    return (near.withColumn("owns", owns).filter("not (own and owns = 1)")
+            .select("query_id", rank.alias("rank"), "vec_id", "score").filter(F.col("rank") <= k))
 
 
 SQL = r"""

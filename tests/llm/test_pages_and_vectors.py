@@ -76,6 +76,22 @@ def test_top_k(spark):
     assert sorted(tuple(r) for r in topk.top_k(df).collect()) == sorted(want)
 
 
+def test_top_k_twins_huge_and_empty(spark):
+    same = [[math.cos(i + j) for j in range(12)] for i in range(30)]
+    vec = [(i, v, "x", 1) for i, v in enumerate(same)]
+    vec += [(50, same[3], "x", 2), (50, same[4], "x", 3), (50, same[3], "x", 3)]         # twins: an id on several rows
+    vec += [(100, [1e18] * 12, "x", 1), (101, [1e-300] * 12, "x", 1), (None, same[5], "x", 1), (0, same[7], None, 1)]
+    df = spark.createDataFrame(vec, "vec_id long, embedding array<double>, query_id string, score int").repartition(4)
+    rows = [(i, [math.floor(256.0 * x) for x in v]) for i, v, _, _ in vec if i is not None and i != 100]
+    want = []
+    for n, (i, q) in enumerate(rows):
+        if i % 50 == 0:
+            scored = sorted((-sum(a * b for a, b in zip(q, v)), j) for m, (j, v) in enumerate(rows) if m != n)
+            want += [(i, r + 1, j, -s) for r, (s, j) in enumerate(scored[:5])]
+    assert sorted(tuple(r) for r in topk.top_k(df).collect()) == sorted(want)
+    assert topk.top_k(df.limit(0)).count() == 0
+
+
 def test_bounds_hold():
     import numpy as np
     rng = np.random.default_rng(0)

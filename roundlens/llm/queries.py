@@ -83,6 +83,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op2_suffix_dedup": suffix_dedup.SQL,
     "op3_ngram_jaccard_join": ngram_join.SQL,
     "op4_warc_fixity": warc_fixity.SQL,
     "op6_benchmark_decontamination": positional_index.SQL,

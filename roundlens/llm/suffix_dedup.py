@@ -390,3 +390,20 @@ def remove_repeats(docs: DataFrame, length: int = 100, with_text: bool = False)
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     return (docs.join(lists, "doc", "left").select("text", "cut", F.col("doc_id").cast("long"))
             .mapInArrow(keep, schema + (", kept binary" if with_text else "")))
+
+
+SQL = r"""
+WITH d AS (SELECT row_number() OVER (ORDER BY doc_id NULLS LAST) AS k, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+w AS (SELECT k, x, unnest(range(len(x) // 2 - 99)) AS i FROM d WHERE len(x) >= 200),
+g AS (SELECT k, i, md5(substr(x, (2 * i + 1)::BIGINT, 200)) AS g FROM w),
+later AS (SELECT k, i FROM (SELECT k, i, row_number() OVER (PARTITION BY g ORDER BY k, i) AS r FROM g) WHERE r > 1),
+isl AS (SELECT k, i, sum(opens) OVER (PARTITION BY k ORDER BY i) AS n FROM (SELECT k, i,
+    CASE WHEN i > lag(i) OVER (PARTITION BY k ORDER BY i) + 100 THEN 1 ELSE 0 END AS opens FROM later)),
+cut AS (SELECT k, min(i) AS s, max(i) + 100 AS e FROM isl GROUP BY k, n),
+gap AS (SELECT k, s, e, coalesce(lag(e) OVER (PARTITION BY k ORDER BY s), 0) AS p FROM cut),
+kept AS (SELECT d.k, sum(e - s) AS removed, count(*) AS spans,
+    string_agg(substr(x, 2 * p + 1, 2 * (s - p)), '' ORDER BY s) || substr(any_value(x), 2 * max(e) + 1) AS y
+    FROM d JOIN gap ON gap.k = d.k GROUP BY d.k)
+SELECT doc_id, (len(x) // 2)::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(y, x))) AS kept_sha256
+FROM d LEFT JOIN kept ON kept.k = d.k"""

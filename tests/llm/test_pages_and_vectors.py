@@ -122,7 +122,7 @@ def test_pipeline_stages(spark, docs, no_docs, tmp_path):
         assert at.count() == 0
 
 
-@pytest.mark.parametrize("name", ["op3_ngram_jaccard_join", "op4_warc_fixity", "op6_benchmark_decontamination", "op7_exact_top_k",
+@pytest.mark.parametrize("name", ["op2_suffix_dedup", "op11_bitmap_manifest", "op13_periodic_runs", "op3_ngram_jaccard_join", "op4_warc_fixity", "op6_benchmark_decontamination", "op7_exact_top_k",
                                   "op10_mix_sources"])
 def test_queries_equal_sql(spark, name):
     import duckdb

@@ -8,8 +8,9 @@ record is found along one path.  Everything is DataFrame work keyed by (file,
 node), so no key holds more than ``FANOUT`` rows.
 
 Defined cases: a null payload or url is an empty one; repeated records are
-separate records in offset order; a record missing in one replica is reported
-as ``missing`` (or ``extra``); empty stores have no roots and no damage.
+separate records in offset order; null page_ids are equal to each other; a record
+missing in one replica is reported as ``missing`` (or ``extra``), one that stands at
+another place as ``moved``; empty stores have no roots and no damage.
 """
 
 from __future__ import annotations
@@ -84,17 +85,38 @@ def damaged(left: list[DataFrame], right: list[DataFrame]) -> DataFrame:
     return branch
 
 
+def _nth(rows: DataFrame, *key: str) -> DataFrame:
+    """Rows with their number among those of equal key, so that repeats pair off in order."""
+    return rows.withColumn("nth", F.row_number().over(Window.partitionBy("file", *key).orderBy("seq")))
+
+
 def audit(main: DataFrame, replica: DataFrame) -> DataFrame:
-    """file, seq, offset, length, page_id, sha256, state of every record of either replica."""
-    bad = damaged(tree(main), tree(replica)).withColumnRenamed("node", "seq").withColumn("bad", F.lit(True))
-    a = main.select("file", "seq", "offset", "length", "page_id", F.sha2("record", 256).alias("sha256"), F.lit(True).alias("a"))
-    b = replica.select("file", "seq", F.col("offset").alias("o2"), F.col("length").alias("l2"),
-                       F.col("page_id").alias("p2"), F.lit(True).alias("b"))
-    state = (F.when(F.col("b").isNull(), "missing").when(F.col("a").isNull(), "extra")
-             .when(F.col("bad"), "damaged").otherwise("ok"))
-    return (a.join(b, ["file", "seq"], "full").join(bad, ["file", "seq"], "left")
-            .select("file", "seq", F.coalesce("offset", "o2").alias("offset"), F.coalesce("length", "l2").alias("length"),
-                    F.coalesce("page_id", "p2").alias("page_id"), "sha256", state.alias("state")))
+    """file, seq, offset, length, page_id, sha256, state of every record of either replica.
+
+    Only records in differing branches are looked at further.  Those whose bytes
+    stand elsewhere in the replica's file are ``moved``, so a lost or added record
+    does not condemn those after it; of the rest, equal record ids are ``damaged``,
+    others ``missing`` or ``extra`` (with the replica's place and no digest).
+    """
+    bad = damaged(tree(main), tree(replica)).withColumnRenamed("node", "seq")
+    cols = ["file", "seq", "offset", "length", "page_id", "sha256"]
+    a = main.select(*cols[:-1], F.sha2("record", 256).alias("sha256"))
+    b = replica.join(bad, ["file", "seq"], "left_semi").select(*cols[:-1], F.sha2("record", 256).alias("sha256"))
+    left = written(a.join(bad, ["file", "seq"], "left_semi"), "merkle-left")
+    right = written(b, "merkle-right")
+    fine = a.join(bad, ["file", "seq"], "left_anti").withColumn("state", F.lit("ok"))
+    # Equal bytes first, each in file order, then equal record ids.
+    by_bytes = ["file", "sha256", "nth"]
+    l1, r1 = _nth(left, "sha256"), _nth(right, "sha256")
+    moved = l1.join(r1.select(*by_bytes), by_bytes, "left_semi").select(*cols, F.lit("moved").alias("state"))
+    l2 = _nth(l1.join(r1.select(*by_bytes), by_bytes, "left_anti").drop("nth"), "page_id")
+    r2 = _nth(r1.join(l1.select(*by_bytes), by_bytes, "left_anti").drop("nth"), "page_id")
+    same = (l2["file"] == r2["file"]) & l2["page_id"].eqNullSafe(r2["page_id"]) & (l2["nth"] == r2["nth"])
+    hurt = l2.join(r2, same, "left_semi").select(*cols, F.lit("damaged").alias("state"))
+    lost = l2.join(r2, same, "left_anti").select(*cols, F.lit("missing").alias("state"))
+    extra = r2.join(l2, same, "left_anti").select(*cols[:-1], F.lit(None).cast("string").alias("sha256"),
+                                                  F.lit("extra").alias("state"))
+    return fine.union(moved).union(hurt).union(lost).union(extra)
 
 
 def spoil(records: DataFrame) -> DataFrame:

@@ -62,6 +62,26 @@ def test_merkle_audit(spark):
     assert warc_fixity.audit(empty, empty).count() == 0
 
 
+def test_audit_finds_its_place_again(spark):
+    """Replicas laid out again after a loss, an addition, a change and a swap: nothing else is condemned."""
+    rows = [(i, f"http://h/{i}", f"<p>{i}</p>" * (i % 5 + 1), "x") for i in range(40)] + [(None, None, "n", "x")] * 2
+    schema = "page_id long, url string, html string, sha256 string"
+    main = warc_fixity.lay_out(spark.createDataFrame(rows, schema), 1)
+
+    def states(changed):
+        replica = warc_fixity.lay_out(spark.createDataFrame(changed, schema), 1)
+        got = warc_fixity.audit(main, replica).select("page_id", "state").collect()
+        return sorted((r["state"], r["page_id"]) for r in got if r["state"] not in ("ok", "moved")), len(got)
+
+    assert states([r for r in rows if r[0] != 3]) == ([("missing", 3)], 42)
+    assert states(rows + [(7, "http://h/again", "new", "x")]) == ([("extra", 7)], 43)
+    assert states([(i, u, "hurt" if i == 5 else h, x) for i, u, h, x in rows if i != 30]) == (
+        [("damaged", 5), ("missing", 30)], 42)
+    assert states([(9 if i == 8 else 8 if i == 9 else i, u, h, x) for i, u, h, x in rows])[0] == [
+        ("damaged", 8), ("damaged", 9)]
+    assert states(rows[:-1])[0] == [("missing", None)]
+
+
 def test_top_k(spark):
     vec = [(i, [math.sin(i * (j + 1)) for j in range(20)]) for i in range(260)]
     vec += [(300, vec[50][1]), (301, vec[50][1]), (302, None), (303, [1.0, None]), (304, [float("nan")] * 20), (305, [1.0, 2.0]), (350, [])]

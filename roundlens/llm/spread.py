@@ -2,17 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import delete_path, scratch_path, spark_context
 
 
+BATCH_BYTES = "8m"  # text handed to a Python task at a time while a table is written
+
+
+@contextmanager
+def small_batches(spark: SparkSession):
+    """Bound the Arrow batches of the queries run inside; the session's own setting comes back."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    old = spark.conf.get(key, None)
+    if old is None:
+        yield
+        return
+    spark.conf.set(key, BATCH_BYTES)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared scratch folder and read it back (cuts lineage, survives executors)."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     sc = spark_context(spark)
     if sc is not None:  # shuffle files of finished steps go when the driver collects its garbage
         sc._jvm.System.gc()

@@ -225,7 +225,10 @@ def search(index: DataFrame, items: DataFrame, window: int = 10, slop: int = 0)
             names, asked, slots, owner = shared.value
             length = (slots >= 0).sum(axis=1)
             for batch in batches:
-                for row in batch.to_pylist():
+                for k in range(batch.num_rows):  # one segment at a time, its postings not copied
+                    row = {c: batch.column(c)[k].as_buffer() for c in ("terms", "counts", "starts", "postings")}
+                    row["segment"] = batch.column("segment")[k].as_py()
+                    row["doc_words"] = batch.column("doc_words")[k].values.to_numpy(zero_copy_only=False)
                     p, start = find(_Segment(row, asked), slots, length, slop)
                     n = np.asarray(row["doc_words"], np.int64)
                     base = np.concatenate([[0], np.cumsum(n + GAP)[:-1]])

@@ -61,6 +61,7 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str = "text",
             yield Chunk(batch.slice(lo, hi - lo), data[offsets[lo]:offsets[hi]],
                         offsets[lo:hi + 1] - offsets[lo], valid[lo:hi])
             lo = hi
+    pa.default_memory_pool().release_unused()  # workers outlive their tasks
 
 
 def mix(h: np.ndarray) -> np.ndarray:

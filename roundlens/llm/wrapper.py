@@ -70,8 +70,6 @@ _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)
 _NAME = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
-# HTML white space plus no-break spaces, as they end up between words of a block.
-_SPACE = re.compile(r"\s+")
 
 
 class Node:
@@ -83,6 +81,9 @@ class Node:
         self.shape = self.size = self.words = None  # set by number()
 
 
+_judged: dict[str, bool] = {}  # attributes seen lately: the tags of a site repeat
+
+
 def _named_boilerplate(attrs: str) -> bool:
     if not attrs or "=" not in attrs and "hidden" not in attrs:
         return False
@@ -122,7 +123,11 @@ def parse(page: str | None) -> Node:
         if tag in SAME_CLOSES:
             _close(stack, tuple(SAME_CLOSES[tag].split()), {"ul", "ol", "dl", "table", "select"})
         attrs = m.group(3)
-        node = Node(tag, tag in DROPPED or tag not in NEVER and _named_boilerplate(attrs))
+        if attrs not in _judged:
+            if len(_judged) >= 1024:
+                _judged.clear()
+            _judged[attrs] = _named_boilerplate(attrs)
+        node = Node(tag, tag in DROPPED or tag not in NEVER and _judged[attrs])
         if len(stack) <= MAX_DEPTH or tag in RAW:
             stack[-1].children.append(node)
         if tag in RAW:
@@ -182,7 +187,7 @@ def number(root: Node) -> list[Node]:
         inner = _elements(n)
         n.shape = hash((n.tag, *[c.shape for c in inner]))
         n.size = 1 + sum(c.size for c in inner)
-        n.words = hash(tuple(c.words if isinstance(c, Node) else _SPACE.sub(" ", c).strip() for c in n.children))
+        n.words = hash(tuple(c.words if isinstance(c, Node) else " ".join(c.split()) for c in n.children))
     return out
 
 
@@ -191,7 +196,7 @@ def _elements(n: Node) -> list[Node]:
 
 
 def own_text(n: Node) -> str:
-    return _SPACE.sub(" ", " ".join(c for c in n.children if isinstance(c, str))).strip()
+    return " ".join(" ".join(c for c in n.children if isinstance(c, str)).split())
 
 
 def score(a: Node, b: Node, known: dict) -> int:
@@ -292,7 +297,7 @@ def main_text(part: list[Node], template: frozenset | set = frozenset()) -> str:
     line: list[str] = []
 
     def end() -> None:
-        text = _SPACE.sub(" ", html_lib.unescape("".join(line))).strip()
+        text = " ".join(html_lib.unescape("".join(line)).split())
         line.clear()
         if text:
             blocks.append(text)
@@ -372,7 +377,7 @@ def induce(pages: DataFrame) -> DataFrame:
                 for a, b in pairs:
                     c = count.setdefault((host, a.number), [0, 0, 0])
                     c[0] += 1
-                    c[1] += own_text(a) == own_text(b)
+                    c[1] += a.words == b.words or own_text(a) == own_text(b)
                     c[2] += a.tag in BLOCK and a.words == b.words
             if len(count) > 100_000:
                 yield _counts(count)

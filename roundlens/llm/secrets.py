@@ -179,8 +179,7 @@ def _covered(word: str, words: frozenset) -> float:
 
 
 def features(candidate: str, before: str, after: str, path: str | None, lang: Language) -> list[float]:
-    c = candidate[:512]  # the make-up of a long key block shows in its first characters; its length is kept
-    n = len(c)
+    c, n = candidate, len(candidate)
     code = np.frombuffer(c.encode("latin-1", "replace"), np.uint8) & 127
     count = np.bincount(code, minlength=128) / max(1, n)
     p = count[count > 0]
@@ -191,7 +190,7 @@ def features(candidate: str, before: str, after: str, path: str | None, lang: La
     path = (path or "").lower()
     hexes = sum(ch in "0123456789abcdefABCDEF" for ch in c) / max(1, n)
     return [
-        float(len(candidate)), float(len(set(c))), float(-(p * np.log2(p)).sum()),
+        float(n), float(len(set(c))), float(-(p * np.log2(p)).sum()),
         *[float((kind == k).mean()) for k in range(4)], hexes,
         float((kind[1:] != kind[:-1]).mean()) if n > 1 else 0.0,
         float(lang.pairs[code[:-1], code[1:]].mean()) if n > 1 else 0.0,

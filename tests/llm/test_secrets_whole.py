@@ -46,3 +46,12 @@ def test_statistics_of_all_documents(spark, monkeypatch):
     for (a, b), n in Counter(p for t in texts for w in t.split() for p in zip(w, w[1:])).items():
         pairs[ord(a), ord(b)] += n
     assert np.allclose(lang.pairs, np.log(pairs / pairs.sum(axis=1, keepdims=True)))
+
+
+def test_features_see_the_whole_candidate():
+    lang = secrets.Language(frozenset({"word"}), secrets.np.zeros((128, 128)))
+    short, long = (secrets.features("Ab" * 300 + tail, "", "", None, lang) for tail in ("", "9_=" * 400 + "word"))
+    digits, other, covered, ends = 3, 6, 10, 18
+    assert short[digits] == short[other] == short[covered] == 0
+    assert long[digits] == 400 / 1804 and long[other] == 800 / 1804 and long[covered] == 4 / 1804
+    assert [secrets.features("A" * 600 + c, "", "", None, lang)[ends] for c in "A="] == [0, 1]

@@ -88,30 +88,45 @@ def match_sequence(pr: DataFrame, id_start: int = ID_START) -> DataFrame:
 
 
 def write_match_steps(pr: DataFrame, path: str, matches_per_step: int = 1,
-                      style: str = "python", pause_seconds: float = 0.0) -> int:
-    """Write the rows as messages, ``matches_per_step`` matches a file, files in replay order.
+                      style: str = "python", pause_seconds: float = 0.0, files_per_step: int = 1,
+                      after_step: Callable[[int], None] | None = None) -> int:
+    """Write the rows as messages, ``matches_per_step`` matches a step, steps in replay order.
 
     All files are written by one job, one per step, into a staging folder beside
     ``path``; then they are handed over in order, each with a later modification
     time, which is the order a file source reads them in (``maxFilesPerTrigger=1``
     gives one step a micro-batch).  ``pause_seconds`` waits between steps.  Rows
     without a day, which have no match number, go with the first step.
+
+    A task holds one file's rows, so large steps take several: ``files_per_step``
+    deals a step's matches to so many files (at most; no order among them), and ``after_step``
+    runs when a step's files are all there.  Returns the number of files.
     """
     spark = pr.sparkSession
     stage = f"{path.rstrip('/')}-stage-{uuid.uuid4().hex[:12]}"
     numbered = pr.join(match_sequence(pr).select("date", "match_id", "seq"), ["date", "match_id"], "left")
-    step = F.coalesce(F.expr(f"(seq - 1) div {int(matches_per_step)}"), F.lit(0))
-    rows = numbered.select(step.alias("step"), "date", "match_id", F.struct(*pr.columns).alias("_row"))
-    ordered = rows.repartition("step").sortWithinPartitions("step", "date", "match_id")
+    size, files = int(matches_per_step), int(files_per_step)
+    step = F.coalesce(F.expr(f"(seq - 1) div {size}"), F.lit(0))
+    # Whole matches to a file; rows without a day may be many and are no match.
+    part = F.pmod(F.when(F.col("seq").isNull(), F.xxhash64("match_id", "round_nb", "operator"))
+                  .otherwise(F.xxhash64("date", "match_id")), F.lit(files))
+    rows = numbered.select(step.alias("step"), part.alias("part"), "date", "match_id", F.struct(*pr.columns).alias("_row"))
+    if files > 1:  # a fixed number grows with the step, and small partitions are not put together again
+        least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        dealt = rows.repartition(max(least, 4 * files), "step", "part")
+    else:
+        dealt = rows.repartition("step")
+    ordered = dealt.sortWithinPartitions("step", "date", "match_id")
     messages = encode_wire(ordered.select("step", "_row.*"), style, keep=("step",))
     messages.select("step", "value").write.partitionBy("step").text(stage)
     try:
-        return _hand_over(spark, stage, path, pause_seconds)
+        return _hand_over(spark, stage, path, pause_seconds, after_step)
     finally:
         delete_path(spark, stage)
 
 
-def _hand_over(spark, stage: str, path: str, pause_seconds: float) -> int:
+def _hand_over(spark, stage: str, path: str, pause_seconds: float,
+               after_step: Callable[[int], None] | None = None) -> int:
     """Move staged step files into the source folder in order of their step."""
     hadoop = spark_context(spark)._jvm.org.apache.hadoop.fs
     target = hadoop.Path(path)
@@ -126,6 +141,8 @@ def _hand_over(spark, stage: str, path: str, pause_seconds: float) -> int:
         fs.setTimes(source, stamp + k, -1)
         if not fs.rename(source, hadoop.Path(f"{path.rstrip('/')}/step-{step:012d}-{name}")):
             raise OSError(f"could not hand over {source}")
+        if after_step is not None and (k + 1 == len(files) or files[k + 1][0] != step):
+            after_step(step)
     return len(files)
 
 

@@ -21,6 +21,7 @@ from ..sources.wire import encode_wire
 from . import live, single
 
 AVAILABLE_NOW = {"availableNow": True}
+FILE_MATCHES = 50_000  # matches that one file of a step holds
 
 
 def _drain(queries: Sequence[StreamingQuery]) -> None:
@@ -100,10 +101,17 @@ def replay_single(spark: SparkSession, parts: Sequence[DataFrame], options: sing
 def replay_by_match(spark: SparkSession, fact: DataFrame, steps: int,
                     start: Callable[[DataFrame, str, str], StreamingQuery]) -> str:
     """Replay ``fact`` in ``steps`` steps of equally many whole matches, one step a micro-batch,
-    through ``start(messages, out, checkpoint)``.  Returns the output folder."""
+    through ``start(messages, out, checkpoint)``, which drains what is there (``availableNow``)
+    and is called for every step.  Returns the output folder."""
     root = scratch_path(spark, "by-match")
     src, out = f"{root}/messages", f"{root}/out"
     matches = match_sequence(fact).count()
-    write_match_steps(fact, src, max(1, -(-matches // steps)))
-    _drain([start(live.file_messages(spark, src, max_files_per_trigger=1), out, f"{root}/ckpt")])
+    per_step = max(1, -(-matches // steps))
+
+    def drain(step: int = 0) -> None:
+        _drain([start(live.file_messages(spark, src), out, f"{root}/ckpt")])
+
+    # A step has as many files as it needs; drained before the next is handed over, it is one micro-batch.
+    if not write_match_steps(fact, src, per_step, files_per_step=-(-per_step // FILE_MATCHES), after_step=drain):
+        drain()
     return out

@@ -53,19 +53,25 @@ def encode_wire(pr: DataFrame, style: str = "python", keep: tuple = ()) -> DataF
 
 
 def _typed(cells: list[Column]) -> list[Column]:
-    out = []
-    for name, c in zip(WIRE_FIELDS, cells):
-        out.append((F.trim(c).try_cast("int") if name in INT_COLUMNS else c).alias(name))
-    return out
+    """The cells as canonical columns.
+
+    The integers come out of one ``transform``.  Spark compiles a projection that holds
+    one in small methods; as one method of a whole stage this one would be too long for
+    the JVM to compile, and several times slower.
+    """
+    ints = F.transform(F.array(*[c for n, c in zip(WIRE_FIELDS, cells) if n in INT_COLUMNS]),
+                       lambda c: F.trim(c).try_cast("int"))
+    names = [n for n in WIRE_FIELDS if n in INT_COLUMNS]
+    return [F.get(ints, names.index(n)) if n in INT_COLUMNS else c for n, c in zip(WIRE_FIELDS, cells)]
 
 
-def _int_errors(cells: list[Column]) -> tuple[Column, Column]:
+def _int_errors(cells: list[Column], typed: list[Column]) -> tuple[Column, Column]:
     """(a required integer is NULL, a cell that should be an integer is none)."""
     null, bad = F.lit(False), F.lit(False)
-    for name, c in zip(WIRE_FIELDS, cells):
+    for name, c, v in zip(WIRE_FIELDS, cells, typed):
         if name in INT_COLUMNS:
             null = null | c.isNull()
-            bad = bad | (c.isNotNull() & F.trim(c).try_cast("int").isNull())
+            bad = bad | (c.isNotNull() & v.isNull())
     return null, bad
 
 
@@ -98,12 +104,14 @@ def decode_wire(msgs: DataFrame, mode: str = "json", value_col: str = "value",
                .when(F.size(m) != len(WIRE_FIELDS), F.lit("arity")))
     else:
         raise ValueError("mode must be 'json' or 'legacy'")
-    null, bad = _int_errors(cells)
-    typed = dict(zip(WIRE_FIELDS, cells))
-    err = (err.when(bad, F.lit("bad_int")).when(null | typed["match_id"].isNull(), F.lit("null_field"))
-           .when(~is_day(typed["date"]), F.lit("bad_date")).otherwise(F.lit(None).cast("string")))
-    row = F.struct(*_typed(cells), err.alias("_error"))
-    out = parsed.select(*keep, F.explode(F.array(row)).alias("_row")).select(*keep, "_row.*")
+    typed = _typed(cells)
+    null, bad = _int_errors(cells, typed)
+    text = dict(zip(WIRE_FIELDS, cells))
+    err = (err.when(bad, F.lit("bad_int")).when(null | text["match_id"].isNull(), F.lit("null_field"))
+           .when(~is_day(text["date"]), F.lit("bad_date")).otherwise(F.lit(None).cast("string")))
+    row = F.struct(*[c.alias(n) for n, c in zip(WIRE_FIELDS, typed)], err.alias("_error"))
+    out = (parsed.select(*keep, row.alias("_row")).select(*keep, F.explode(F.array("_row")).alias("_row"))
+           .select(*keep, "_row.*"))
     if strict:
         # Folded into a kept column so the check cannot be pruned away.
         fail = F.raise_error(F.concat(F.lit("undecodable message: "), F.col("_error")))

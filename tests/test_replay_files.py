@@ -1,4 +1,4 @@
-"""Replay steps that need several files."""
+"""Replay steps that need several files, and the decoder's plan."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +9,7 @@ from roundlens import api
 from roundlens.schema import PLAYER_ROUNDS_SCHEMA
 from roundlens.session import scratch_path
 from roundlens.sources.replay import write_match_steps
-from roundlens.sources.wire import decode_wire
+from roundlens.sources.wire import decode_wire, encode_wire
 from roundlens.streaming import replay_run
 from roundlens.streaming.replay_run import replay_by_match
 
@@ -48,3 +48,11 @@ def test_a_step_is_one_batch(spark, many, monkeypatch):
         F.min("match_id"), F.max("match_id"), F.countDistinct("match_id"), F.count("*"))
     assert rows(got) == [(0, "0006", "0203", 198, 396), (1, "0204", "0401", 198, 396), (2, "0402", "0599", 198, 396)]
     assert out.count() == 1200
+
+
+def test_decoder_is_compiled_in_small_methods(spark, many, tmp_path):
+    encode_wire(many).write.text(f"{tmp_path}/m")
+    plan = decode_wire(spark.read.text(f"{tmp_path}/m"))._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+    line = next(x for x in plan.splitlines() if "try_cast" in x)
+    assert "Project [struct(" in line and "*(" not in line

@@ -356,20 +356,22 @@ def _check(docs: DataFrame, classes: DataFrame, pairs: DataFrame, known: list[Da
     if not bounded:
         pairs = _pairs_within_bound(pairs, classes, pct)
     pairs = written(pairs.select("a", "b"), "ngram-pairs")
-    names = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
+    names = written(pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct(),
+                    "ngram-names")  # read in the plan once for every table of known sets
     sets = _sets_of(docs, classes, names, known, k)
     if sets is None:  # no pair at all
+        release(names)
         return pairs
     found = written(_verified(pairs, sets, pct), "ngram-found")
-    release(pairs)
+    release(pairs, names)
     return found
 
 
 def _sets_of(docs: DataFrame, classes: DataFrame, names: DataFrame, known: list[DataFrame], k: int) -> DataFrame | None:
     """(cls, items) of the named classes; sets met for the first time are read and added to ``known``."""
     unread = names
-    for sets in known:
-        unread = unread.join(sets.select("cls"), "cls", "left_anti")
+    if known:
+        unread = names.join(reduce(DataFrame.unionAll, [sets.select("cls") for sets in known]), "cls", "left_anti")
     first = written(unread.join(classes, "cls").select("doc_id").distinct(), "ngram-unread")
     if not first.isEmpty():
         known.append(written(_sets(docs, first, k), "ngram-sets"))
@@ -514,36 +516,48 @@ def jaccard_components(docs: DataFrame, k: int = 5, pct: int = 80) -> DataFrame:
     member = written(_shared_keys(shaped, common).withColumn("comp", F.col("cls")), "ngram-keys")
     release(shaped)
     known: list[DataFrame] = []
-    links: list[DataFrame] = []
     comp = None
-
-    def merge(found: DataFrame) -> None:
-        nonlocal comp, member
-        links.append(found)
-        release(comp)
-        comp = components(reduce(DataFrame.unionAll, links), "ngram-comp")
+    n_links = 0
+
+    def join_up(found: DataFrame) -> None:
+        """Components of the links so far: a component found before enters as a star, not by its links."""
+        nonlocal comp
+        stars = comp
+        if stars is not None:
+            found = found.union(stars.filter("node <> comp").select("node", "comp"))
+        comp = components(found, "ngram-comp")
+        release(stars)
+
+    def merge(found: DataFrame, new: int) -> None:
+        nonlocal member, n_links
+        n_links += new
+        join_up(found)
+        release(found)
         tiles, member = member, written(_mixed(member, comp), "ngram-residual")
         release(tiles)
 
     # Star rounds: each class against a leader of its tiles, links merged to components.
     for turn in range(STAR_ROUNDS):
-        merge(_check(docs, classes, _stars(member, pct, turn), known, k, pct))
+        found = _check(docs, classes, _stars(member, pct, turn), known, k, pct)
+        merge(found, found.count())
 
     # What still lies in one tile but in several components is compared in full: small
     # tiles pair by pair; large ones first by each class's best candidate, again and
     # again while that finds links, so that few pairs are left for the full comparison.
-    merge(_check(docs, classes, _small_tiles(member, pct), known, k, pct))
+    found = _check(docs, classes, _small_tiles(member, pct), known, k, pct)
+    merge(found, found.count())
     while True:
         found = _check(docs, classes, _best_in_tiles(member, classes, pct), known, k, pct, True)
         new = found.count()
         if new:
-            merge(found)
-        if 20 * new <= sum(part.count() for part in links):  # the full comparison below finds the rest
+            merge(found, new)
+        else:
+            release(found)
+        if 20 * new <= n_links:  # the full comparison below finds the rest
             break
-    links.append(_links_in_tiles(docs, member, classes, known, k, pct))
-    release(comp)
-    comp = components(reduce(DataFrame.unionAll, links), "ngram-comp")
-    release(member, classes, *known, *links)
+    last = _links_in_tiles(docs, member, classes, known, k, pct)
+    join_up(last)
+    release(last, member, classes, *known)
 
     # Components take the name of their smallest document.
     named = (per_doc.filter("n > 0").join(comp.withColumnRenamed("node", "cls"), "cls", "left")

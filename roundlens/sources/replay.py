@@ -24,7 +24,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import delete_path, ensure_checkpoint_dir, spark_context
+from ..session import delete_path, drop_shuffles, ensure_checkpoint_dir, spark_context
 from .wire import encode_wire
 
 ID_START = 4  # characters of the match id that split a day
@@ -89,7 +89,7 @@ def match_sequence(pr: DataFrame, id_start: int = ID_START) -> DataFrame:
 
 def write_match_steps(pr: DataFrame, path: str, matches_per_step: int = 1,
                       style: str = "python", pause_seconds: float = 0.0, files_per_step: int = 1,
-                      after_step: Callable[[int], None] | None = None) -> int:
+                      after_step: Callable[[int], None] | None = None, compression: str | None = None) -> int:
     """Write the rows as messages, ``matches_per_step`` matches a step, steps in replay order.
 
     All files are written by one job, one per step, into a staging folder beside
@@ -100,31 +100,69 @@ def write_match_steps(pr: DataFrame, path: str, matches_per_step: int = 1,
 
     A task holds one file's rows, so large steps take several: ``files_per_step``
     deals a step's matches to so many files (at most; no order among them), and ``after_step``
-    runs when a step's files are all there.  Returns the number of files.
+    runs when a step's files are all there.  Such steps are few; each is a job of its own that reads
+    its range of ``pr`` (give a stored table), so only one step's rows are shuffled at a time.
+    ``compression`` is a codec of Spark's text files.  Returns the number of files.
     """
     spark = pr.sparkSession
-    stage = f"{path.rstrip('/')}-stage-{uuid.uuid4().hex[:12]}"
-    numbered = pr.join(match_sequence(pr).select("date", "match_id", "seq"), ["date", "match_id"], "left")
     size, files = int(matches_per_step), int(files_per_step)
+    if files > 1:
+        return _write_large_steps(pr, path, size, files, style, pause_seconds, after_step, compression)
+    numbered = pr.join(match_sequence(pr).select("date", "match_id", "seq"), ["date", "match_id"], "left")
     step = F.coalesce(F.expr(f"(seq - 1) div {size}"), F.lit(0))
-    # Whole matches to a file; rows without a day may be many and are no match.
-    part = F.pmod(F.when(F.col("seq").isNull(), F.xxhash64("match_id", "round_nb", "operator"))
-                  .otherwise(F.xxhash64("date", "match_id")), F.lit(files))
-    rows = numbered.select(step.alias("step"), part.alias("part"), "date", "match_id", F.struct(*pr.columns).alias("_row"))
-    if files > 1:  # a fixed number grows with the step, and small partitions are not put together again
-        least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        dealt = rows.repartition(max(least, 4 * files), "step", "part")
-    else:
-        dealt = rows.repartition("step")
-    ordered = dealt.sortWithinPartitions("step", "date", "match_id")
-    messages = encode_wire(ordered.select("step", "_row.*"), style, keep=("step",))
-    messages.select("step", "value").write.partitionBy("step").text(stage)
+    rows = numbered.select(step.alias("step"), "date", "match_id", F.struct(*pr.columns).alias("_row"))
+    stage = _stage_steps(rows.repartition("step"), path, style, compression)
     try:
         return _hand_over(spark, stage, path, pause_seconds, after_step)
     finally:
         delete_path(spark, stage)
 
 
+def _stage_steps(dealt: DataFrame, path: str, style: str, compression: str | None) -> str:
+    """Write (step, date, match_id, _row), dealt to files, as messages into a new folder beside ``path``."""
+    stage = f"{path.rstrip('/')}-stage-{uuid.uuid4().hex[:12]}"
+    ordered = dealt.sortWithinPartitions("step", "date", "match_id")
+    messages = encode_wire(ordered.select("step", "_row.*"), style, keep=("step",))
+    messages.select("step", "value").write.partitionBy("step").text(stage, compression=compression)
+    return stage
+
+
+def _write_large_steps(pr: DataFrame, path: str, size: int, files: int, style: str, pause_seconds: float,
+                       after_step: Callable[[int], None] | None, compression: str | None) -> int:
+    spark = pr.sparkSession
+    # The first match of every step after the first one: a row a step, as many as folders are handed over.
+    starts = [(r["date"], r["match_id"]) for r in match_sequence(pr).where((F.col("seq") > 1) & ((F.col("seq") - 1) % size == 0))
+              .orderBy("seq").select("date", "match_id").collect()]
+    # Whole matches to a file; rows without a day may be many and are no match.
+    part = F.pmod(F.when(F.col("date").isNull() | F.col("match_id").isNull(), F.xxhash64("match_id", "round_nb", "operator"))
+                  .otherwise(F.xxhash64("date", "match_id")), F.lit(files))
+    # A fixed number grows with the step, and small partitions are not put together again.
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * files)
+    written = 0
+    for step, (lo, hi) in enumerate(zip([None, *starts], [*starts, None])):
+        inside = F.lit(True) if lo is None else _from_match(*lo)
+        if hi is not None:
+            inside = inside & ~_from_match(*hi)
+        rows = pr.where(inside).select(F.lit(step).cast("long").alias("step"), part.alias("part"), "date", "match_id",
+                                       F.struct(*pr.columns).alias("_row"))
+        stage = _stage_steps(rows.repartition(parts, "step", "part"), path, style, compression)
+        if step and pause_seconds:
+            time.sleep(pause_seconds)
+        try:
+            written += _hand_over(spark, stage, path, pause_seconds, after_step)
+        finally:
+            delete_path(spark, stage)
+        drop_shuffles(spark)
+    return written
+
+
+def _from_match(date: str, match_id: str | None) -> Column:
+    """Whether a row's match is this one or a later one in replay order; a row without a day or match is before all."""
+    same = F.lit(True) if match_id is None else F.col("match_id") >= match_id
+    later = (F.col("date") > date) | (F.col("date") == date) & same
+    return F.coalesce(F.col("match_id").isNotNull() & later, F.lit(False))
+
+
 def _hand_over(spark, stage: str, path: str, pause_seconds: float,
                after_step: Callable[[int], None] | None = None) -> int:
     """Move staged step files into the source folder in order of their step."""

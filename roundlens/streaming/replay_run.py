@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..session import scratch_path
+from ..session import delete_path, drop_shuffles, scratch_path
 from ..sources.replay import match_sequence, replay_steps, write_match_steps
 from ..sources.wire import encode_wire
 from . import live, single
@@ -103,13 +103,19 @@ def replay_by_match(spark: SparkSession, fact: DataFrame, steps: int,
     and is called for every step.  Returns the output folder."""
     root = scratch_path(spark, "by-match")
     src, out = f"{root}/messages", f"{root}/out"
+    # Numbering and steps read the rows several times; stored, the shuffles that make them are needed once and go.
+    fact.write.parquet(f"{root}/staging")
+    fact = spark.read.schema(fact.schema).parquet(f"{root}/staging")
     matches = match_sequence(fact).count()
+    drop_shuffles(spark)
     per_step = max(1, -(-matches // steps))
 
     def drain(step: int = 0) -> None:
         _drain([start(live.file_messages(spark, src), out, f"{root}/ckpt")])
 
     # A step has as many files as it needs; drained before the next is handed over, it is one micro-batch.
-    if not write_match_steps(fact, src, per_step, files_per_step=-(-per_step // FILE_MATCHES), after_step=drain):
+    if not write_match_steps(fact, src, per_step, files_per_step=-(-per_step // FILE_MATCHES), after_step=drain,
+                             compression="gzip"):
         drain()
+    delete_path(spark, f"{root}/staging")
     return out

@@ -131,8 +131,9 @@ class LiveJob:
         spark, opt = batch.sparkSession, self.options
         known = self._before(spark, "days", batch_id)
         before = {} if known is None else {r["date"]: r["dirty"] for r in known.collect()}
-        decoded = self._bounded(decode_wire(batch, mode=opt.decode, keep=("value",)), max(before, default=None)).persist()
         good = F.col("_error").isNull()
+        decoded = self._bounded(decode_wire(batch, mode=opt.decode, keep=("value",)), max(before, default=None))
+        decoded = decoded.withColumn("value", F.when(~good, F.col("value"))).persist()  # only a refused message's text is read
         rows = decoded.where(good).select(*PLAYER_ROUNDS_COLUMNS)
         try:
             # One row per calendar day of the batch, and one for what is refused.

@@ -50,6 +50,32 @@ def test_a_step_is_one_batch(spark, many, monkeypatch):
     assert out.count() == 1200
 
 
+def test_large_steps_are_on_disk_one_at_a_time_and_compressed(spark, many, tmp_path):
+    staged, root = [], f"{tmp_path}/m"
+
+    def after(step):
+        staged.append([p.name for p in tmp_path.glob("m-stage-*/step=*/part-*")])
+    write_match_steps(many, root, 100, files_per_step=3, after_step=after, compression="gzip")
+    assert staged == [[]] * 6  # the messages of later steps are not there yet
+    assert all(p.name.endswith(".gz") for p in (tmp_path / "m").glob("step-*"))
+    assert api.from_wire(spark.read.text(root)).count() == 1200 and not list(tmp_path.glob("m-stage-*"))
+
+
+def test_large_steps_cut_where_the_numbers_do(spark, many):
+    """Null and empty match ids, prefixes of each other, and several days: the same steps as by number."""
+    ids = [None, "", "1", "12", "123", "1234", "12345", "12346", "2", "é"]
+    pr = (many.where("date is not null").limit(1).drop("date", "match_id")
+          .join(spark.createDataFrame([(d, m) for d in ("20170210", "20170211", None) for m in ids], "date string, match_id string"))
+          .select(*PLAYER_ROUNDS_SCHEMA.fieldNames()))
+    steps = {}
+    for files in (1, 2):
+        root = scratch_path(spark, "step-cuts")
+        write_match_steps(pr, root, 3, files_per_step=files)
+        value = spark.read.text(root).select("value", F.substring_index(F.input_file_name(), "/step-", -1).substr(1, 12).alias("step"))
+        steps[files] = sorted((r["step"], r["value"]) for r in value.collect())
+    assert steps[1] == steps[2] and len(steps[1]) == 30
+
+
 def test_decoder_is_compiled_in_small_methods(spark, many, tmp_path):
     encode_wire(many).write.text(f"{tmp_path}/m")
     plan = decode_wire(spark.read.text(f"{tmp_path}/m"))._jdf.queryExecution().explainString(

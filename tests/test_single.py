@@ -236,3 +236,17 @@ def test_supervision_stops_when_told(spark, golden):
         return q
     supervise({"idle": start}, stop=stop, poll=0.1)
     assert not started[0].isActive
+
+
+def test_a_batch_is_kept_without_the_text_of_good_messages(spark, golden, tmp_path, monkeypatch):
+    texts = []
+    batch = encode_wire(golden).union(spark.createDataFrame([(b,) for b in BAD], "value string"))
+
+    def persist(self, *level):
+        texts.extend(r["value"] for r in self.where("value is not null").collect())
+        return self
+    monkeypatch.setattr(type(batch), "persist", persist)
+    single.LiveJob(f"{tmp_path}/out", single.LiveOptions(store=False)).process(batch, 0)
+    assert sorted(texts) == sorted(BAD)
+    bad = spark.read.parquet(f"{tmp_path}/out/quarantine")
+    assert sorted((r["value"], r["_error"]) for r in bad.collect()) == sorted([("oops", "not_json"), (AHEAD, "future_date")])
